@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import normalize, packing, registry_match, splitting
+from folioforge.llm import leakage, normalize, packing, registry_match, splitting
 from folioforge.sources.tables import table
 
 
@@ -60,7 +60,25 @@ def p6_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.agg(F.count("*").alias("containers"), F.sum("items").alias("items"), F.sum("used").alias("tokens"), F.round(F.sum("used") / (F.count("*") * limit), 6).alias("share_used"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage)}
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).where(F.col("longest_run") >= leakage.RUN).select("doc_id", "item_id")
+
+
+def p7_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of ten words and more, substitutions allowed."""
+    return _leaks(spark, sf_dir).where(F.col("overlap_words") >= leakage.RUN)
+
+
+def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that leaked, with the number of documents that hold them."""
+    return p7_found(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("n_docs"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items)}
 ORACLES = {
     "p5_found": """
         SELECT section_id, 'figure_legends' AS field_name FROM extracted_sections
