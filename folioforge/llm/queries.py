@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import leakage, normalize, packing, registry_match, splitting
+from folioforge.llm import leakage, normalize, packing, registry_match, spam, splitting
 from folioforge.sources.tables import table
 
 
@@ -78,7 +78,16 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_found(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("n_docs"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.find_spam(table(spark, sf_dir, "documents")).where("stuffed_share > 0.5").select("doc_id")
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of each document's length that is stuffing."""
+    return spam.find_spam(table(spark, sf_dir, "documents")).withColumn("stuffed_share", F.round("stuffed_share", 6))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items, p8_found, p8_shares)}
 ORACLES = {
     "p5_found": """
         SELECT section_id, 'figure_legends' AS field_name FROM extracted_sections
