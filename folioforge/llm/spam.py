@@ -68,9 +68,9 @@ def is_sentence(unit: str) -> bool:
     if n < 4:
         return False
     functional = sum(w in FUNCTION_WORDS for w in words)
-    if functional == 0 and n > 3 and len(set(words)) <= n and not re.search(r"[=<>;:%°μ(]|\d", re.sub(r"\b[A-Z]{2,4}\d+\b", "", s)):
+    if functional == 0 and not re.search(r"[=<>;:%°μ(]|(?<![A-Za-z])\d", s):
         return False
-    return s.count(",") * 5 <= n
+    return s.count(",") <= max(3, n // 8)
 
 
 _PARTS = re.compile(r"\s*[\r\n•|;*\t]\s*|,\s+|\s+[-–/·>]\s+")
