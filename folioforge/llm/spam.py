@@ -68,7 +68,7 @@ def is_sentence(unit: str) -> bool:
     if n < 4:
         return False
     functional = sum(w in FUNCTION_WORDS for w in words)
-    if functional == 0 and not re.search(r"[=<>;:%°μ(]|(?<![A-Za-z])\d", s):
+    if functional == 0 and not re.search(r"[=<>;:%°μ(]|(?<![A-Za-z\d])\d", s):
         return False
     return s.count(",") <= max(3, n // 8)
 
