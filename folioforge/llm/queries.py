@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm import leakage, normalize, packing, registry_match, spam, splitting
+from folioforge.llm import leakage, normalize, packing, registry_match, spam, splitting, truncation
 from folioforge.sources.tables import table
 
 
+def _cut_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "caption_extraction").select(F.lit("caption_extraction").alias("table_name"), F.col("extraction_id").alias("row_id"), "source", F.col("figure_caption").alias("text"))
+    b = table(spark, sf_dir, "panel_info").select(F.lit("panel_info").alias("table_name"), F.col("panel_info_id").alias("row_id"), "source", F.col("panel_caption").alias("text"))
+    return truncation.judge(a.unionByName(b))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut_captions(spark, sf_dir).where("p_cut > 0.5").select("table_name", "row_id")
+
+
+def p1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and share of cut rows of every source, among its rows with a caption."""
+    each = _cut_captions(spark, sf_dir).groupBy("table_name", "source")
+    return each.agg(F.count("*").alias("n_rows"), F.sum((F.col("p_cut") > 0.5).cast("long")).alias("n_cut"), F.round(F.avg((F.col("p_cut") > 0.5).cast("double")), 6).alias("share_cut"))
+
+
 def _caption_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "individual_caption").select(F.lit("figure_caption").alias("field_name"), F.col("caption_id").alias("id"), F.col("figure_caption").alias("text"))
     b = table(spark, sf_dir, "panel_list").select(F.lit("panel_caption").alias("field_name"), F.col("panel_id").alias("id"), F.col("panel_caption").alias("text"))
@@ -87,7 +103,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam.find_spam(table(spark, sf_dir, "documents")).withColumn("stuffed_share", F.round("stuffed_share", 6))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_normalized, p4_found, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_normalized, p4_found, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items, p8_found, p8_shares)}
 ORACLES = {
     "p5_found": """
         SELECT section_id, 'figure_legends' AS field_name FROM extracted_sections
