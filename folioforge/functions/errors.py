@@ -1,0 +1,49 @@
+"""Errors of model calls, classified by name and message."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Parts of messages that tell the kind of an error, and names of errors.
+CONTEXT_LENGTH = (
+    "context length", "maximum context length", "maximum context", "token limit", "too long", "context window",
+    "context_window_exceeded", "maximum tokens", "input too long", "length limit", "context_length_exceeded",
+)
+OUTPUT_LENGTH = ("lengthfinishreasonerror", "finish_reason", "length limit was reached", "response was truncated")
+SAFETY = ("invalid_prompt", "safety reasons", "limited access to this content", "content_policy_violation", "content policy")
+TRANSIENT = ("timed out", "timeout", "rate limit", "overloaded", "temporarily unavailable", "connection reset", "503", "504", "502")
+TRANSIENT_NAMES = ("RateLimitError", "APIConnectionError", "APITimeoutError", "InternalServerError", "OverloadedError")
+CRITICAL = {
+    "BadRequestError": "invalid_request",
+    "AuthenticationError": "authentication_error",
+    "PermissionDeniedError": "permission_denied",
+    "NotFoundError": "not_found",
+    "UnprocessableEntityError": "unprocessable_request",
+}
+
+
+def has_any(message: Column, parts: tuple[str, ...]) -> Column:
+    return F.lower(message).rlike("|".join(p.replace(".", r"\.") for p in parts))
+
+
+def reason(name: Column, message: Column) -> Column:
+    """The first kind that fits, in the order context, output, safety, transient, by name."""
+    out = (
+        F.when(has_any(message, CONTEXT_LENGTH), "context_length")
+        .when(has_any(message, OUTPUT_LENGTH), "output_length_limit")
+        .when(has_any(message, SAFETY), "safety_block")
+        .when(name.isin(*TRANSIENT_NAMES) | has_any(message, TRANSIENT), "transient_api_error")
+    )
+    for k, v in CRITICAL.items():
+        out = out.when(name == k, v)
+    return out.otherwise("unexpected_error")
+
+
+def severity(why: Column) -> Column:
+    return F.when(why.isin("context_length", "output_length_limit", "safety_block", "transient_api_error"), "recoverable").otherwise("critical")
+
+
+def requested_tokens(message: Column) -> Column:
+    """Tokens that a context error says were asked for; null where it says none."""
+    return F.expr("try_cast(1 AS bigint)") * F.replace(F.nullif(F.regexp_extract(message, r"(?i)(?:resulted in|you requested)\s*([0-9,]+)\s*tokens", 1), F.lit("")), F.lit(","), F.lit("")).try_cast("bigint")

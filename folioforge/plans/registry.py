@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from folioforge.plans import nested_queries
+from folioforge.plans import nested_queries, table_queries, text_queries  # noqa: F401  they register their queries
+from folioforge.plans.catalog import ORACLES, QUERIES
 
-QUERIES = {**nested_queries.QUERIES}
-ORACLES: dict[str, str] = {}
+QUERIES.update(nested_queries.QUERIES)
+
+__all__ = ["ORACLES", "QUERIES"]
