@@ -334,8 +334,11 @@ def _unwrapped(text: str) -> Iterator[str]:
     right = len(w)
     while right > left and (w[right - 1] in WRAPPERS or w[right - 1].isdigit()):
         right -= 1
-    for i in range(0, left + 1):
-        for j in range(len(w), right - 1, -1):
+    # long runs of wrapping words are taken off whole
+    starts = range(left + 1) if left < 8 else (0, left)
+    ends = range(len(w), right - 1, -1) if len(w) - right < 8 else (len(w), right)
+    for i in starts:
+        for j in ends:
             if (i, j) != (0, len(w)) and i < j:
                 yield " ".join(w[i:j])
 

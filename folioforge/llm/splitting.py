@@ -26,7 +26,7 @@ ABBREVIATIONS = "al approx ca cf cfr cont dr ed eds eq eqs etc e.g ex fig figs i
 _NEWLINE = r"(?:\r\n|\n|\r)"
 LEVELS = (
     # a heading: numbered figure or table, Markdown or HTML heading, at the start of a line, block or sentence
-    re.compile(rf"(?:{_NEWLINE}|</p>|<br\s*/?>|(?<=[.!?>]))[ \t]*(?:{_NEWLINE}[ \t]*)*(?=(?:<(?:p|strong|b|em)>)*(?:(?:Supplementary |Extended Data )?(?:Figure|Fig\.|Table|Scheme|Box|Movie) ?\w{{1,4}}[.:]|\#{{1,6}} |<h[1-6]))", re.I),
+    re.compile(rf"(?:{_NEWLINE}|</p>|<br\s*/?>|(?<=[.!?>]))[ \t]*(?:{_NEWLINE}[ \t]*){{0,8}}(?=(?:<(?:p|strong|b|em)>)*(?:(?:Supplementary |Extended Data )?(?:Figure|Fig\.|Table|Scheme|Box|Movie) ?\w{{1,4}}[.:]|\#{{1,6}} |<h[1-6]))", re.I),
     re.compile(rf"{_NEWLINE}[ \t]*(?:{_NEWLINE}[ \t]*)+|</(?:p|div|ul|ol|table|section|h[1-6])>\s*", re.I),
     re.compile(rf"{_NEWLINE}[ \t]*|<br\s*/?>\s*|</(?:li|tr)>\s*|\s+(?=\([A-Z]\) |<strong>)", re.I),
     re.compile(r"(?<=[.!?])(?:[)\]\"'”’]|</\w+>)*\s+(?=[A-Z0-9(\[\"'“‘<]|[^\W\d_])"),

@@ -110,16 +110,19 @@ def cut_positions(prepared: DataFrame) -> DataFrame:
     Words are counted by their context first, with map-side combining; only the distinct
     ones are taken apart into their beginnings.
     """
-    of_text = prepared.select(F.posexplode("sentences").alias("s", "words"), F.size("sentences").alias("n_sentences"), "ended")
-    words = of_text.select(
-        "words", _word(F.col("words"), F.lit(1)).alias("h1"), _word(F.col("words"), F.lit(2)).alias("h2"), F.posexplode("words").alias("k", "w"),
-        (F.col("s") + 1 == F.col("n_sentences")).alias("final"),
-    ).select(
-        "h1", F.when(F.col("k") >= 1, F.col("h2")).otherwise("?").alias("h2"),
-        F.when(F.col("k") >= 2, F.element_at("words", F.greatest(F.col("k") - 1, F.lit(1)))).otherwise("^").alias("p2"),
-        F.when(F.col("k") >= 1, F.element_at("words", F.greatest(F.col("k"), F.lit(1)))).otherwise("^").alias("p1"),
-        "w", (F.col("final") & (F.col("k") + 1 == F.size("words"))).alias("very_last"), (F.col("k") == 0).alias("head"), (F.col("k") == 1).alias("second"),
-    )
+    def context(words: Column, s: Column) -> Column:
+        final = s + 1 == F.size("sentences")
+        at = lambda k: F.coalesce(F.get(words, k), F.lit("^"))
+        return F.transform(
+            words,
+            lambda w, k: F.struct(
+                at(F.lit(0)).alias("h1"), F.when(k >= 1, at(F.lit(1))).otherwise("?").alias("h2"), F.when(k >= 2, at(k - 2)).otherwise("^").alias("p2"),
+                F.when(k >= 1, at(k - 1)).otherwise("^").alias("p1"), w.alias("w"), (final & (k + 1 == F.size(words))).alias("very_last"), (k == 0).alias("head"), (k == 1).alias("second"),
+            ),
+        )
+
+    # contexts are made inside the arrays, so no exploded row carries its whole sentence
+    words = prepared.select(F.explode(F.flatten(F.transform("sentences", context))).alias("x")).select("x.*")
     counted = words.groupBy("h1", "h2", "p2", "p1", "w", "head", "second").agg(F.count("*").alias("n"), F.sum(F.when(F.col("very_last"), 0).otherwise(1)).alias("followed"))
     begun = counted.withColumn("k", F.explode(F.sequence(F.lit(1), F.length("w")))).withColumn("t", F.expr("substring(w, 1, k)"))
     # A sentence cut within its first or second word has the part as its head.
