@@ -140,7 +140,7 @@ class Merkle:
 
 
 #: Name of the field a child object stands in -> kind of the object.
-KINDS = {"figures": "figure", "panels": "panel", "panel_bbox": "panel_bbox", "data_sources": "data_source", "data_availability": "data_availability"}
+KINDS = {"manuscript": "manuscript", "structure": "manuscript", "figures": "figure", "panels": "panel", "panel_bbox": "panel_bbox", "data_sources": "data_source", "data_availability": "data_availability"}
 
 
 def occurrences(record_id: int, doc: object, merkle: Merkle) -> Iterator[tuple]:
@@ -196,10 +196,12 @@ def _walk(batches: Iterator[pa.RecordBatch], what: str) -> Iterator[pa.RecordBat
             doc = parse(payload)
             if doc is None:
                 continue
+            merkle = Merkle()
+            try:
+                merkle.identity(doc, "manuscript" if manuscript(doc) is doc else "envelope")
+            except RecursionError:
+                continue  # as a document too deep for the parser
             if what == "objects":
-                merkle = Merkle()
-                top = manuscript(doc)
-                merkle.identity(doc if top is None else top, "manuscript")
                 for node, (kind, body) in merkle.store.items():
                     if node not in seen:
                         seen.add(node)
@@ -207,9 +209,9 @@ def _walk(batches: Iterator[pa.RecordBatch], what: str) -> Iterator[pa.RecordBat
                 if len(seen) > SEEN_MOST:
                     seen.clear()
             elif what == "bridge":
-                rows.extend(b for b, _ in occurrences(record_id, doc, Merkle()))
+                rows.extend(b for b, _ in occurrences(record_id, doc, merkle))
             else:
-                for b, v in occurrences(record_id, doc, Merkle()):
+                for b, v in occurrences(record_id, doc, merkle):
                     o = v if isinstance(v, dict) else {}
                     kind = b[1]
                     xy = box(v) if kind == "panel_bbox" else (None,) * 4

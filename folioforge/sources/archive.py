@@ -39,7 +39,7 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         continue
                     own = xml.rsplit("/", 1)[-1][:-4]
                     text = z.read(xml).decode("utf-8", "replace")
-                    for i in infos:
+                    for i in (x for x in infos if not x.is_dir()):
                         rows.append((path, own, i.filename.removeprefix(own + "/"), i.file_size, text, None))
             except (zipfile.BadZipFile, OSError, RuntimeError) as e:
                 rows.append((path, None, None, None, None, f"unreadable: {e}"))

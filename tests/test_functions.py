@@ -1,0 +1,137 @@
+import pytest
+from pyspark.sql import functions as F
+
+from folioforge.functions import errors, sequence, similarity, text
+
+
+def one(spark, column, **values):
+    df = spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()] or [F.lit(0)])
+    return df.select(column.alias("r")).first().r
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [("<p>A  <b>x</b>\n y</p>", "A x y"), ("p < 0.05 and q > 1", "p < 0.05 and q > 1"), ("a<!-- no -->b<script>x</script>c", "a b c"), ("", ""), (None, None), ("x" * 100_000, "x" * 100_000)],
+)
+def test_strip_tags(spark, raw, want):
+    assert one(spark, text.strip_tags(F.lit(raw).cast("string"))) == want
+
+
+def test_normalizers_differ_as_they_should(spark):
+    raw = F.lit("Fig<b>A</b> &amp; B_c,  \x07D")
+    assert one(spark, text.normalize_basic(raw)) == "fig a & b_c, d"
+    assert one(spark, text.normalize_verbatim(F.lit("Fig<b>A</b> &amp; B_c,  D"))) == "figa bc d"
+
+
+@pytest.mark.parametrize(("raw", "want"), [("1A", "A"), ("Fig2B", "B"), ("Panel2E", "E"), ("1A1", "A"), ("a", "A"), ("12", "12"), ("", ""), (None, None)])
+def test_panel_label(spark, raw, want):
+    assert one(spark, text.panel_label(F.lit(raw).cast("string"))) == want
+
+
+@pytest.mark.parametrize(("raw", "want"), [("Fig. 3", "Figure 3"), ("Figure S1 2", "Figure 12"), ("Scheme", "Scheme")])
+def test_figure_label(spark, raw, want):
+    assert one(spark, text.figure_label(F.lit(raw))) == want
+
+
+@pytest.mark.parametrize(("raw", "want"), [("AB-2024-1/Doc/x.docx", "Doc/x.docx"), ("plain/Doc/x", "plain/Doc/x"), ("a-b/x", "a-b/x"), ("x1-y", "x1-y"), ("a\\b", "a/b")])
+def test_clean_path(spark, raw, want):
+    assert one(spark, text.clean_path(F.lit(raw))) == want
+
+
+@pytest.mark.parametrize(("raw", "want"), [("d/", False), ("__MACOSX/a", False), ("a/Thumbs.db", False), (".x", False), ("a/b.csv", True)])
+def test_members(spark, raw, want):
+    assert one(spark, text.is_data_member(F.lit(raw))) is want
+
+
+def test_reply_json(spark):
+    assert one(spark, text.json_in_reply(F.lit("x ```json\n{\"a\":\n1}``` y {2}"))) == '{"a": 1}'
+    assert one(spark, text.json_in_reply(F.lit('so [1, 2] it is'), "[", "]")) == "[1, 2]"
+    assert one(spark, text.json_in_reply(F.lit("nothing"))) is None
+
+
+def test_excerpt_template_and_folding(spark):
+    assert one(spark, text.excerpt(F.lit("a  b" + "c" * 200), 10)) == "a bccccccc..."
+    assert one(spark, text.fill_template("$a $ab $x", {"a": F.lit("1"), "ab": F.lit("2")})) == "1 2 $x"
+    assert one(spark, text.ascii_fold(F.lit("Å é μm"))) == "A e m"
+    assert one(spark, text.drop_empty_items(F.lit("<ul><LI> &nbsp;<br/></li><li>x</li></ul>"))) == "<ul><li>x</li></ul>"
+
+
+@pytest.mark.parametrize(
+    ("labels", "want"),
+    [
+        (list("ABCDE"), True), (list("ABDE"), False), (list("ace"), False), (["I", "II", "III"], True), (["I", "III", "II"], True), (["I", "III", "V"], False), (["1", "2", "3"], True),
+        (["1", "3", "5"], False), (["A"], True), ([], False), (["B", "A"], False), (["AB", "C"], False), (["?"], False),
+    ],
+)
+def test_sequences(spark, labels, want):
+    c = F.array(*[F.lit(x) for x in labels]).cast("array<string>")
+    assert one(spark, sequence.is_sequence(sequence.bare_labels(c))) is want
+
+
+def test_decorated_labels_count_bare(spark):
+    assert one(spark, sequence.is_sequence(sequence.bare_labels(F.array(F.lit("(A)"), F.lit("B."), F.lit("[C]"))))) is True
+
+
+@pytest.mark.parametrize(("roman", "n"), [("IV", 4), ("MCMXCIV", 1994), ("III", 3), ("MMMCMXCIX", 3999)])
+def test_roman(spark, roman, n):
+    assert one(spark, sequence.roman_to_int(F.lit(roman))) == n
+    assert one(spark, sequence.int_to_roman(F.lit(n))) == roman
+    assert one(spark, sequence.is_roman(F.lit(roman))) is True
+
+
+def test_not_roman(spark):
+    assert one(spark, sequence.is_roman(F.lit("IIII"))) is False
+    assert one(spark, sequence.roman_to_int(F.lit("IQ"))) == -1
+
+
+def test_set_scores(spark):
+    s = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
+    assert one(spark, similarity.jaccard(s(), s())) == 1 and one(spark, similarity.jaccard(s("a"), s())) == 0
+    assert one(spark, similarity.jaccard(s("a", "b"), s("b", "c"))) == pytest.approx(1 / 3)
+    assert one(spark, similarity.recall(s(), s())) == 1 and one(spark, similarity.recall(s("a"), s())) == 0 and one(spark, similarity.recall(s("a", "a", "b"), s("a"))) == 0.5
+    assert one(spark, similarity.positional(s("a", "b"), s("a", "c", "d"))) == 0.5 and one(spark, similarity.positional(s(), s("a"))) == 0
+
+
+def brute_ratio(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    return max((100 * similarity.common_subsequence(a, b[i : i + len(a)]) / len(a) for i in range(len(b) - len(a) + 1)), default=0) if a else 0
+
+
+@pytest.mark.parametrize(("a", "b"), [("abc", "xxabdxx"), ("kitten", "sitting on a mitten"), ("", "x"), ("aaaa", "bbbbbb"), ("hello world", "a hallo, wurld!")])
+def test_partial_ratio_is_the_best_of_all_places(a, b):
+    assert similarity.partial_ratio(a, b) == pytest.approx(brute_ratio(a, b))
+
+
+def test_common_subsequence():
+    assert similarity.common_subsequence("abcbdab", "bdcaba") == 4
+    assert similarity.common_subsequence([], ["a"]) == 0
+
+
+def test_overlap_clips_and_keeps_empty_pairs(spark):
+    df = spark.createDataFrame([(1, ["a", "a", "b"], ["a", "c"]), (2, [], ["x"]), (3, [], [])], "k int, a array<string>, b array<string>")
+    got = {r.k: (r.hits, r.n_a, r.n_b) for r in similarity.overlap(df, "k", "a", "b").collect()}
+    assert got == {1: (1, 3, 2), 2: (0, 0, 1), 3: (0, 0, 0)}
+
+
+@pytest.mark.parametrize(
+    ("name", "message", "why", "how"),
+    [
+        ("BadRequestError", "Maximum context length is 5", "context_length", "recoverable"),
+        ("X", "the length limit was reached", "context_length", "recoverable"),
+        ("X", "response was truncated", "output_length_limit", "recoverable"),
+        ("X", "blocked by content policy", "safety_block", "recoverable"),
+        ("RateLimitError", "", "transient_api_error", "recoverable"),
+        ("X", "HTTP 503", "transient_api_error", "recoverable"),
+        ("NotFoundError", "?", "not_found", "critical"),
+        ("X", "?", "unexpected_error", "critical"),
+    ],
+)
+def test_errors(spark, name, message, why, how):
+    assert one(spark, errors.reason(F.lit(name), F.lit(message))) == why
+    assert one(spark, errors.severity(errors.reason(F.lit(name), F.lit(message)))) == how
+
+
+def test_requested_tokens(spark):
+    assert one(spark, errors.requested_tokens(F.lit("you requested 131,072 tokens"))) == 131072
+    assert one(spark, errors.requested_tokens(F.lit("no"))) is None
