@@ -1,0 +1,22 @@
+import pytest
+from oracle import connect, rows
+
+from folioforge.llm import queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query_runs_and_equals_its_sql(spark, small_data, name):
+    got = queries.QUERIES[name](spark, small_data).toPandas()
+    if name in queries.ORACLES:
+        assert rows(got) == rows(connect(small_data).execute(queries.ORACLES[name]).df())
+    else:
+        assert len(got.columns) > 0
+
+
+def test_columns_of_found_queries(spark, small_data):
+    want = {
+        "p1_found": ["table_name", "row_id"], "p3_found": ["field_name", "id_a", "id_b"], "p4_found": ["data_source_id", "registry_id"],
+        "p5_found": ["section_id", "field_name"], "p7_found": ["doc_id", "item_id"], "p8_found": ["doc_id"],
+    }
+    for name, columns in want.items():
+        assert queries.QUERIES[name](spark, small_data).columns == columns
