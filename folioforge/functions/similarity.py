@@ -34,6 +34,8 @@ def positional(a: Column, b: Column) -> Column:
 
 
 def ngrams(words: Column, n: int) -> Column:
+    if n == 1:
+        return words
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
@@ -43,8 +45,8 @@ def overlap(df: DataFrame, key: str, a: str, b: str, n: int = 1) -> DataFrame:
     The n-grams are counted by a shuffle on (key, n-gram), so long texts cost no more than
     their length; pairs without a single n-gram have zeros.
     """
-    side = lambda c, s: df.select(key, F.explode(ngrams(F.col(c), n)).alias("g"), F.lit(s).alias("side"))
-    per = side(a, 0).unionByName(side(b, 1)).groupBy(key, "g").agg(F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("x"), F.sum("side").alias("y"))
+    mark = lambda c, s: F.transform(ngrams(F.col(c), n), lambda g: F.struct(g.alias("g"), F.lit(s).alias("side")))
+    per = df.select(key, F.inline(F.concat(mark(a, 0), mark(b, 1)))).groupBy(key, "g").agg(F.sum(1 - F.col("side")).alias("x"), F.sum("side").alias("y"))
     sums = per.groupBy(key).agg(F.sum(F.least("x", "y")).alias("hits"), F.sum("x").alias("n_a"), F.sum("y").alias("n_b"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return df.select(key).join(sums, key, "left").select(key, zero("hits"), zero("n_a"), zero("n_b"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import sequence, similarity, text
 from folioforge.operators import chunking, dedup, linkage, model, rollup
+from folioforge.operators.partitioning import spread
 from folioforge.plans.catalog import query
 from folioforge.sources import archive, sinks
 from folioforge.sources.tables import table
@@ -178,10 +181,9 @@ def q36_registry_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q37_source_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of three field matches over all pairs of expected and actual rows of an order. Equal
     values are counted on either side and multiplied, so no pair is ever made; may exceed 1."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("expected", (F.col("l_returnflag") == "R").cast("bigint"))
-    fields = F.array(*[F.struct(F.lit(k).alias("field"), F.col(c).cast("string").alias("v")) for k, c in enumerate(("l_partkey", "l_suppkey", "l_linestatus"))])
-    counts = lines.select("l_orderkey", "expected", F.inline(fields)).groupBy("l_orderkey", "field", "v").agg(F.sum("expected").alias("e"), F.sum(1 - F.col("expected")).alias("a"))
-    hits = counts.groupBy("l_orderkey").agg(F.sum(F.col("e") * F.col("a")).alias("hits"))
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "l_returnflag")).withColumn("expected", (F.col("l_returnflag") == "R").cast("bigint"))
+    products = [lines.groupBy("l_orderkey", c).agg((F.sum("expected") * F.sum(1 - F.col("expected"))).alias("hits")).select("l_orderkey", "hits") for c in ("l_partkey", "l_suppkey", "l_linestatus")]
+    hits = reduce(DataFrame.unionByName, products).groupBy("l_orderkey").agg(F.sum("hits").alias("hits"))
     n = lines.groupBy("l_orderkey").agg(F.greatest(F.sum("expected"), F.lit(1)).alias("n"))
     return hits.join(n, "l_orderkey").select("l_orderkey", F.round(F.col("hits") / 3 / F.col("n"), 6).alias("accuracy"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import errors, sequence, similarity, text
 from folioforge.operators import dedup, linkage
+from folioforge.operators.partitioning import spread
 from folioforge.plans.catalog import query
 from folioforge.sources.tables import table
 
@@ -24,7 +25,7 @@ VERBATIM = (
 @query(f"SELECT extraction_id, md5({STRIP.format('figure_caption')}) AS plain_md5, length({STRIP.format('figure_caption')}) AS plain_length FROM caption_extraction")
 def q01_strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = text.strip_tags(F.col("figure_caption"))
-    return table(spark, sf_dir, "caption_extraction").select("extraction_id", F.md5(plain).alias("plain_md5"), F.char_length(plain).cast("bigint").alias("plain_length"))
+    return spread(table(spark, sf_dir, "caption_extraction").select("extraction_id", "figure_caption")).select("extraction_id", F.md5(plain).alias("plain_md5"), F.char_length(plain).cast("bigint").alias("plain_length"))
 
 
 @query(r"""SELECT section_id, md5(regexp_replace('<ul><li> </li><li>' || data_availability || '</li><li>&nbsp;<br/></li></ul>', '(?i)<li>(?:\s|&nbsp;| |<br\s*/?>)*</li>', '', 'g')) AS clean_md5 FROM extracted_sections WHERE data_availability IS NOT NULL""")
@@ -36,12 +37,12 @@ def q02_sanitize_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT panel_info_id, md5({BASIC.format('panel_caption')}) AS norm_md5 FROM panel_info")
 def q03_normalize_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "panel_info").select("panel_info_id", F.md5(text.normalize_basic(F.col("panel_caption"))).alias("norm_md5"))
+    return spread(table(spark, sf_dir, "panel_info").select("panel_info_id", "panel_caption")).select("panel_info_id", F.md5(text.normalize_basic(F.col("panel_caption"))).alias("norm_md5"))
 
 
 @query(f"SELECT doc_id, md5({VERBATIM.format('text')}) AS norm_md5 FROM documents")
 def q04_normalize_verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalize_verbatim(F.col("text"))).alias("norm_md5"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.md5(text.normalize_verbatim(F.col("text"))).alias("norm_md5"))
 
 
 _LATEST_SECTION = "SELECT manuscript_id, arg_max(figure_legends, (extracted_at, section_id)) AS legends FROM (SELECT * FROM extracted_sections WHERE figure_legends IS NOT NULL) GROUP BY manuscript_id"
@@ -52,7 +53,7 @@ def _verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = table(spark, sf_dir, "extracted_sections").where("figure_legends IS NOT NULL")
     sources = dedup.latest(sections.select("manuscript_id", "extracted_at", "section_id", "figure_legends"), ["manuscript_id"], "extracted_at", "section_id")
     sources = sources.select("manuscript_id", text.normalize_basic(F.col("figure_legends")).alias("legends"))
-    extracts = table(spark, sf_dir, "panel_info").select("panel_info_id", "manuscript_id", "source", text.normalize_basic(F.col("panel_caption")).alias("caption"))
+    extracts = spread(table(spark, sf_dir, "panel_info").select("panel_info_id", "manuscript_id", "source", "panel_caption")).select("panel_info_id", "manuscript_id", "source", text.normalize_basic(F.col("panel_caption")).alias("caption"))
     return linkage.contained(extracts, sources, "manuscript_id", "caption", "legends")
 
 
@@ -87,7 +88,7 @@ def q07_hallucination_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _caption_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each panel's caption (a) with the caption of its figure (b)."""
     figures = table(spark, sf_dir, "individual_caption").select("caption_id", F.col("figure_caption").alias("b"))
-    return table(spark, sf_dir, "panel_list").select("panel_id", "caption_id", F.col("panel_caption").alias("a")).join(figures, "caption_id")
+    return spread(table(spark, sf_dir, "panel_list").select("panel_id", "caption_id", F.col("panel_caption").alias("a"))).join(figures, "caption_id")
 
 
 def _word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
