@@ -13,6 +13,24 @@ def pruned_json(scalars: dict[str, Column], arrays: dict[str, Column], keep_empt
     return F.to_json(F.struct(*kept))
 
 
+def with_context(line: Column, context: Column) -> Column:
+    """A line with key=value pairs after it, in the order of the keys; nulls left out."""
+    pairs = F.array_sort(F.map_entries(F.map_filter(context, lambda k, v: v.isNotNull())))
+    return F.concat_ws(" ", line, F.array_join(F.transform(pairs, lambda e: F.concat_ws("=", e["key"], e["value"])), " "))
+
+
+def html_rows(df: DataFrame, columns: list[str], most: int = 500) -> DataFrame:
+    """Rows of an HTML table, cells escaped and cut to a readable length."""
+    def cell(name: str) -> Column:
+        s = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        s = F.when(F.char_length(s) > most, F.concat(F.substring(s, 1, most), F.lit("…"))).otherwise(s)
+        for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            s = F.replace(s, F.lit(a), F.lit(b))
+        return F.concat(F.lit("<td>"), s, F.lit("</td>"))
+
+    return df.select(F.concat(F.lit("<tr>"), *[cell(c) for c in columns], F.lit("</tr>")).alias("value"))
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
