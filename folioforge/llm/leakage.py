@@ -35,20 +35,23 @@ _TAG = re.compile(r"<!--.*?-->|</?[a-zA-Z][^<>]*>", re.S)
 _DIVIDED = re.compile(r"(?<=[^\W\d_])[-­‐]\s*[\r\n]\s*(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W_]+")
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
-_INLINE = re.compile(r"</?(?:a|abbr|b|em|font|i|mark|small|span|strong|sub|sup|u)\b[^<>]*>", re.I)
+#: Marks inside a word: a tag of running text with a letter or digit on both sides.
+_INSIDE = re.compile(r"(?<=\w)</?(?:a|abbr|b|em|font|i|mark|small|span|strong|sub|sup|u)\b[^<>]*>(?=\w)", re.I)
 
 
 def word_lists(text: str | None) -> list[list[str]]:
-    """The words of a text, in lower case, without markup: twice if words may be divided at
-    line ends, once with those joined and once as they stand."""
+    """The words of a text, in lower case, without markup: once more for each way in which
+    words may be divided, by a hyphen at a line end or by a tag inside a word."""
     if not text:
         return []
+    forms = [text]
     if "<" in text:
-        text = _TAG.sub(" ", text)
+        bare = _TAG.sub(" ", text)
+        inside = _TAG.sub(" ", _INSIDE.sub("", text))
+        forms = [bare] if inside == bare else [bare, inside]
     if "&" in text:
-        text = html.unescape(text)
-    joined = _DIVIDED.sub("", text)
-    forms = [joined] if joined == text else [joined, text]
+        forms = [html.unescape(f) for f in forms]
+    forms = list(dict.fromkeys(g for f in forms for g in (_DIVIDED.sub("", f), f)))
     return [_WORD.findall(_HIDDEN.sub("", f).lower()) for f in forms]
 
 

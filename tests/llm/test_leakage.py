@@ -9,6 +9,7 @@ from folioforge.llm.leakage import MASKS, RUN, compare, find_leaks, seeds, word_
 def test_words():
     assert word_lists("<p>BW-48 <em>cells</em>,\nta&amp;ke UP</p>") == [["bw", "48", "cells", "ta", "ke", "up"]]
     assert word_lists("pefo-\nmycin now") == [["pefomycin", "now"], ["pefo", "mycin", "now"]]
+    assert ["substrate", "x"] in word_lists("sub<em>strate</em> x") and ["sub", "strate", "x"] in word_lists("sub<em>strate</em> x")
     assert word_lists(None) == [] and word_lists("") == []
 
 
