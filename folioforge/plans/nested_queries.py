@@ -41,4 +41,33 @@ def p2_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("record_id", "child", "figure_no", "panel_no", "item_no", "node_id", "parent_id", "file")
 
 
+def _each(source: str, value: str, keys: str, number: str) -> str:
+    """SQL: the children in a JSON value, an array or a single child, with their positions."""
+    listed = f"CASE json_type({value}) WHEN 'ARRAY' THEN from_json({value}, '[\"JSON\"]') WHEN 'NULL' THEN [] ELSE [{value}] END"
+    return f"SELECT {keys}, unnest(l) AS x, generate_subscripts(l, 1) AS {number} FROM (SELECT {keys}, {listed} AS l FROM {source} WHERE {value} IS NOT NULL)"
+
+
+_TEXT_BOX = r"^\s*[\[(]?\s*-?[0-9.eE+-]+\s*,\s*-?[0-9.eE+-]+\s*,\s*-?[0-9.eE+-]+\s*,\s*-?[0-9.eE+-]+\s*[\])]?\s*$"
+_NUMBERS = "json_type({0}) IN ('DOUBLE', 'UBIGINT', 'BIGINT')"
+
+ORACLES = {
+    "p2_found": f"""
+    WITH d AS (SELECT record_id, payload::JSON AS j FROM manuscript_records WHERE json_valid(payload)),
+    m AS (SELECT record_id, CASE WHEN json_exists(j, '$.figures') THEN j->'figures' WHEN json_exists(j, '$.manuscript.figures') THEN j->'manuscript'->'figures' ELSE j->'result'->'structure'->'figures' END AS f FROM d),
+    f AS (SELECT record_id, figure_no, x AS f FROM ({_each("m", "f", "record_id", "figure_no")}) WHERE json_type(x) = 'OBJECT'),
+    p AS (SELECT record_id, figure_no, panel_no, x AS p FROM ({_each("(SELECT record_id, figure_no, f->'panels' AS v FROM f)", "v", "record_id, figure_no", "panel_no")}) WHERE json_type(x) = 'OBJECT'),
+    ff AS (SELECT record_id, figure_no, item_no FROM ({_each("(SELECT record_id, figure_no, f->'sd_files' AS v FROM f)", "v", "record_id, figure_no", "item_no")}) WHERE json_type(x) = 'VARCHAR' AND trim(x->>'$') <> ''),
+    pf AS (SELECT record_id, figure_no, panel_no, item_no FROM ({_each("(SELECT record_id, figure_no, panel_no, p->'sd_files' AS v FROM p)", "v", "record_id, figure_no, panel_no", "item_no")}) WHERE json_type(x) = 'VARCHAR' AND trim(x->>'$') <> ''),
+    b AS (SELECT record_id, figure_no, panel_no, p->'panel_bbox' AS b FROM p)
+    SELECT record_id, 'figure' AS child, figure_no::INTEGER AS figure_no, 0 AS panel_no, 0 AS item_no FROM f
+    UNION ALL SELECT record_id, 'figure_file', figure_no::INTEGER, 0, item_no::INTEGER FROM ff
+    UNION ALL SELECT record_id, 'panel', figure_no::INTEGER, panel_no::INTEGER, 0 FROM p
+    UNION ALL SELECT record_id, 'panel_file', figure_no::INTEGER, panel_no::INTEGER, item_no::INTEGER FROM pf
+    UNION ALL SELECT record_id, 'panel_bbox', figure_no::INTEGER, panel_no::INTEGER, 0 FROM b WHERE
+        (json_type(b) = 'ARRAY' AND json_array_length(b) = 4 AND {" AND ".join(_NUMBERS.format(f"b->{i}") for i in range(4))})
+        OR (json_type(b) = 'OBJECT' AND {" AND ".join(_NUMBERS.format(f"b->'{k}'") for k in nested.COORDINATES)})
+        OR (json_type(b) = 'VARCHAR' AND regexp_matches(b->>'$', '{_TEXT_BOX}'))
+    """,
+}
+
 QUERIES = {f.__name__: f for f in (p2_found, p2_bridge, p2_objects, p2_figures, p2_panels, p2_boxes, p2_files)}

@@ -6,5 +6,6 @@ from folioforge.plans import check_queries, nested_queries, table_queries, text_
 from folioforge.plans.catalog import ORACLES, QUERIES
 
 QUERIES.update(nested_queries.QUERIES)
+ORACLES.update(nested_queries.ORACLES)
 
 __all__ = ["ORACLES", "QUERIES"]
