@@ -112,4 +112,11 @@ ORACLES = {
         SELECT section_id, 'data_availability' FROM extracted_sections
         WHERE length(data_availability) > (SELECT max_size FROM size_limits WHERE limit_name = 'data_availability')
     """,
+    "p7_found": r"""
+        WITH bare AS (SELECT 'd' AS side, doc_id AS id, regexp_replace(text, '</?[a-zA-Z][^<>]*>', ' ', 'g') AS t FROM documents UNION ALL SELECT 'i', item_id, regexp_replace(passage, '</?[a-zA-Z][^<>]*>', ' ', 'g') FROM eval_items),
+        forms AS (SELECT side, id, t FROM bare UNION SELECT side, id, regexp_replace(t, '(\p{L})[-‐]\s*[\r\n]\s*(\p{L})', '\1\2', 'g') FROM bare),
+        w AS (SELECT side, id, regexp_extract_all(lower(t), '[\p{L}\p{N}]+') AS w FROM forms),
+        runs AS (SELECT DISTINCT side, id, array_to_string(w[k:k + 9], ' ') AS run FROM (SELECT side, id, w, unnest(range(1, len(w) - 8)) AS k FROM w WHERE len(w) >= 10))
+        SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM runs d JOIN runs i ON d.run = i.run AND d.side = 'd' AND i.side = 'i'
+    """,
 }
