@@ -31,10 +31,9 @@ def longest_prefix(df: DataFrame, value: str, dimension: DataFrame, prefix: str,
     An equi-join: each distinct value is taken apart into its beginnings of the lengths that
     occur in the dimension, instead of being compared with every entry.
     """
-    lengths = F.array_sort(F.array_agg(F.length(prefix)))
-    span = dimension.agg(F.array_distinct(lengths).alias("lengths"))
-    values = df.select(value).where(F.col(value).isNotNull()).distinct().crossJoin(F.broadcast(span))  # one row
-    begun = values.select(value, F.explode(F.filter("lengths", lambda n: n <= F.length(value))).alias("n")).withColumn("__p", F.expr(f"substring({value}, 1, n)"))
+    lengths = sorted(r[0] for r in dimension.select(F.length(prefix)).distinct().collect() if r[0])  # no more than the longest entry has letters
+    n = F.explode(F.filter(F.lit(lengths) if lengths else F.array().cast("array<int>"), lambda k: k <= F.length(value)))
+    begun = df.select(value).where(F.col(value).isNotNull()).distinct().select(value, n.alias("n")).withColumn("__p", F.expr(f"substring({value}, 1, n)"))
     hits = begun.join(dimension.select(F.col(prefix).alias("__p"), *columns), "__p")
     best = hits.groupBy(value).agg(F.max_by(F.struct(*columns), F.struct("n")).alias("hit"))
     return df.join(best, value, "left").select(*df.columns, *[F.col(f"hit.{c}").alias(c) for c in columns])
