@@ -38,7 +38,7 @@ def unescape(text: Column) -> Column:
 
 def drop_empty_items(text: Column) -> Column:
     """List items that hold nothing but blanks, no-break spaces and line breaks go."""
-    return F.regexp_replace(text, "(?i)<li>(?:\\s|&nbsp;| |<br\\s*/?>)*</li>", "")
+    return F.regexp_replace(text, "(?i)<li>(?:\\s|&nbsp;|\u00a0|<br\\s*/?>)*</li>", "")
 
 
 def normalize_basic(text: Column) -> Column:

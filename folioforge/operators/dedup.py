@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions.sequence import LETTERS
-from folioforge.operators.partitioning import ROWS_PER_SALT
 
 
 def keep_best(df: DataFrame, keys: list[str], score: Column, order: Column, place: str | None = None) -> DataFrame:
@@ -78,4 +77,3 @@ def gaps(df: DataFrame, group: str, number: str) -> DataFrame:
     return distinct.withColumn("after", after).where(F.col("after") > F.col(number) + 1).select(group, (F.col(number) + 1).alias("gap_from"), (F.col("after") - 1).alias("gap_to"))
 
 
-__all__ = ["ROWS_PER_SALT", "first_and_rest", "free_labels", "gaps", "keep_best", "latest", "nearest_to_group"]
