@@ -32,9 +32,9 @@ MOST_SEEDS = 2_000_000
 EQUAL, UNEQUAL = 1, -4
 
 _TAG = re.compile(r"<!--.*?-->|</?[a-zA-Z][^<>]*>", re.S)
-_DIVIDED = re.compile(r"(?<=[^\W\d_])[-­‐]\s*[\r\n]\s*(?=[^\W\d_])")
+_DIVIDED = re.compile(r"(?<=[^\W\d_])[-\u00ad\u2010]\s*[\r\n]\s*(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W_]+")
-_HIDDEN = re.compile("[­​-‏⁠﻿]")
+_HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 #: Marks inside a word: a tag of running text with a letter or digit on both sides.
 _INSIDE = re.compile(r"(?<=\w)</?(?:a|abbr|b|em|font|i|mark|small|span|strong|sub|sup|u)\b[^<>]*>(?=\w)", re.I)
 

@@ -22,11 +22,11 @@ from folioforge.session import materialize
 
 # Default-ignorable code points of the Unicode standard, as ranges.
 IGNORABLE = (
-    "­͏؜ᅟ-ᅠ឴-឵᠋-᠏​-‏‪-‮⁠-⁯"
-    "ㅤ︀-️﻿ﾠ￰-￸\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
+    "\u00ad\u034f\u061c\u115f-\u1160\u17b4-\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f"
+    "\u3164\ufe00-\ufe0f\ufeff\uffa0\ufff0-\ufff8\U0001bca0-\U0001bca3\U0001d173-\U0001d17a\U000e0000-\U000e0fff"
 )
 # Hyphens drawn like the ASCII one (dashes and the minus sign are longer).
-HYPHENS = "‐‑﹣－"
+HYPHENS = "\u2010\u2011\ufe63\uff0d"
 # Letters of other scripts, and Latin variants, drawn like a Latin letter.
 # Small Greek letters other than omicron are symbols of their own.
 LOOK_ALIKES = {

@@ -62,7 +62,7 @@ def _hard_cuts(text: str, a: int, b: int, size: int) -> list[int]:
         e = a + size
         low = max(a + size // 2, a + 1)
         k = e
-        while k > low and (unicodedata.combining(text[k]) or text[k] in "‍︎️" or text[k - 1] == "‍" or text[k - 1 : k + 1] == "\r\n"):
+        while k > low and (unicodedata.combining(text[k]) or text[k] in "\u200d\ufe0e\ufe0f" or text[k - 1] == "\u200d" or text[k - 1 : k + 1] == "\r\n"):
             k -= 1
         tag = text.rfind("<", max(a, k - 200), k)
         if tag > low and (m := _TAG.match(text, tag)) and m.end() > k:
