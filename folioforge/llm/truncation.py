@@ -44,6 +44,8 @@ UNEVEN = 8.0
 SENTENCE_CHARS = 80
 #: Chance that an ending seen nowhere else comes of a cut, if cutting the corpus can and if it can't give its head.
 REACHABLE, UNREACHABLE = 0.9, 0.3
+#: What an ending that no cut of the corpus can leave takes off the chance, at the middle and the finest grain.
+UNREACHED = {"_mid": 0.2, "": 0.7}
 #: Words of the context model are told apart by so many first characters.
 WORD_KEY = 24
 
@@ -85,7 +87,7 @@ def prepare(df: DataFrame) -> DataFrame:
         F.col("clean").rlike(MARKER).alias("marked"),
         (F.col("clean").rlike(r"<[/A-Za-z]?[^<>\s]*$") | (opened > closed)).alias("broken"),
         stop.alias("ended"),
-        (~stop | F.col("clean").rlike(r"\d\.$")).alias("open"),
+        (~stop | F.col("clean").rlike(r"(?:^|[^\d.,])\d+\.$")).alias("open"),
         F.xxhash64("clean").alias("text_id"),
         _sentences(_shape(F.col("clean"))).alias("sentences"),
     )
@@ -108,7 +110,8 @@ def cut_positions(prepared: DataFrame) -> DataFrame:
     """(key, n): characters of the corpus at which a cut would leave the ending of that key.
 
     Words are counted by their context first, with map-side combining; only the distinct
-    ones are taken apart into their beginnings.
+    ones are taken apart into their beginnings. A cut right behind the stop of a sentence
+    leaves no ending to tell and is not counted here.
     """
     def context(words: Column, s: Column) -> Column:
         final = s + 1 == F.size("sentences")
@@ -129,7 +132,7 @@ def cut_positions(prepared: DataFrame) -> DataFrame:
     keys = begun.select(
         F.when(F.col("head"), F.col("t")).otherwise(F.col("h1")).alias("h1"),
         F.when(F.col("head"), F.lit("^")).when(F.col("second"), F.col("t")).otherwise(F.col("h2")).alias("h2"),
-        "p2", "p1", F.col("t").alias("w"), F.when(F.col("k") < F.length("w"), F.col("n")).otherwise(2 * F.col("followed")).alias("n"),
+        "p2", "p1", F.col("t").alias("w"), F.when(F.col("k") < F.length("w"), F.col("n")).when(F.col("w").rlike(r"[.!?]$"), 0).otherwise(2 * F.col("followed")).alias("n"),
     )
     return keys.groupBy(*KEY).agg(F.sum("n").alias("n")).where("n > 0")
 
@@ -274,6 +277,8 @@ def judge(df: DataFrame) -> DataFrame:
 
     def share(level: str, behind: Column) -> Column:
         cuts = F.lit(UNEVEN * rate) * F.col(f"n{level}")
+        if level in UNREACHED:
+            behind = F.when(F.col(f"n{level}") > 0, behind).otherwise(behind * UNREACHED[level])
         return (cuts + SMOOTHING * behind) / (F.greatest(F.col(f"e{level}") - 1, cuts) + SMOOTHING)  # the ending itself is no evidence
 
     unseen = F.when(F.col("n_top") > 0, REACHABLE).otherwise(UNREACHABLE)
