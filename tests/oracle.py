@@ -15,9 +15,10 @@ def connect(folder):
 
 
 def cell(x):
-    if x is None or x is pd.NaT or isinstance(x, float) and x != x:
+    if x is None or x is pd.NaT or x is pd.NA or isinstance(x, float) and x != x:
         return "null"
-    return repr(round(x, 5)) if isinstance(x, float) else str(x).replace("+00:00", "")
+    number = isinstance(x, (int, float)) and not isinstance(x, bool)  # a column of whole numbers with nulls comes as floats
+    return repr(round(float(x), 5)) if number else str(x).replace("+00:00", "")
 
 
 def rows(df):
