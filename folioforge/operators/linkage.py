@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.operators.partitioning import salt_count
+
 #: Rows that a dimension may have to be sent to every task; a longer one is joined by a shuffle.
 BROADCAST_ROWS = 50_000
+#: Rows of one key that meet as many of the other side in one task, where all pairs of a key are made.
+ROWS_PER_MEETING = 1_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -25,6 +29,32 @@ def contained(extracts: DataFrame, sources: DataFrame, key: str, extract: str, s
     return joined.withColumn("is_verbatim", F.coalesce(hit, F.lit(False))).drop("__source")
 
 
+def meet(left: DataFrame, right: DataFrame, key: str, by_left: str, by_right: str, rows: int = ROWS_PER_MEETING) -> DataFrame:
+    """All pairs of rows of both sides that share a key.
+
+    A hot key is dealt out on either side by the hash of the column named, into parts of about
+    `rows` rows, and each part of the one side meets each part of the other in a task of its own.
+    """
+    sizes = left.groupBy(key).agg(salt_count(F.count("*"), rows).alias("__m")).join(right.groupBy(key).agg(salt_count(F.count("*"), rows).alias("__n")), key)
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = left.join(sizes, key).withColumn("__i", part(by_left, "__m")).withColumn("__j", every("__n")).drop("__m", "__n")
+    b = right.join(sizes, key).withColumn("__j", part(by_right, "__n")).withColumn("__i", every("__m")).drop("__m", "__n")
+    return a.join(b, [key, "__i", "__j"]).drop("__i", "__j")
+
+
+def contained_in_any(extracts: DataFrame, sources: DataFrame, key: str, extract: str, source: str) -> DataFrame:
+    """extracts with is_verbatim: whether the extract stands in any source of its key.
+
+    Each distinct extract meets each distinct source of its key once; extracts without a
+    source, and empty ones, are not verbatim.
+    """
+    asked = extracts.select(key, extract).where(F.length(extract) > 0).distinct()
+    texts = sources.select(key, F.col(source).alias("__source")).where("__source IS NOT NULL").distinct()
+    hits = meet(asked, texts, key, extract, "__source").where(F.contains("__source", extract)).select(key, extract).distinct()
+    return extracts.join(hits.withColumn("__hit", F.lit(True)), [key, extract], "left").withColumn("is_verbatim", F.coalesce("__hit", F.lit(False))).drop("__hit")
+
+
 def longest_prefix(df: DataFrame, value: str, dimension: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
     """df with the columns of the longest entry that begins the value; null where none does.
 

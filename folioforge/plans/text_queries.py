@@ -48,13 +48,17 @@ def q04_normalize_verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LATEST_SECTION = "SELECT manuscript_id, arg_max(figure_legends, (extracted_at, section_id)) AS legends FROM (SELECT * FROM extracted_sections WHERE figure_legends IS NOT NULL) GROUP BY manuscript_id"
 
 
+def _panel_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "panel_info").select("panel_info_id", "manuscript_id", "source", "panel_caption")
+    return spread(rows).select("panel_info_id", "manuscript_id", "source", text.normalize_basic(F.col("panel_caption")).alias("caption"))
+
+
 def _verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel captions against the latest legends of their manuscript, both normalised."""
     sections = table(spark, sf_dir, "extracted_sections").where("figure_legends IS NOT NULL")
     sources = dedup.latest(sections.select("manuscript_id", "extracted_at", "section_id", "figure_legends"), ["manuscript_id"], "extracted_at", "section_id")
     sources = sources.select("manuscript_id", text.normalize_basic(F.col("figure_legends")).alias("legends"))
-    extracts = spread(table(spark, sf_dir, "panel_info").select("panel_info_id", "manuscript_id", "source", "panel_caption")).select("panel_info_id", "manuscript_id", "source", text.normalize_basic(F.col("panel_caption")).alias("caption"))
-    return linkage.contained(extracts, sources, "manuscript_id", "caption", "legends")
+    return linkage.contained(_panel_captions(spark, sf_dir), sources, "manuscript_id", "caption", "legends")
 
 
 _VERBATIM_SQL = f"""
@@ -75,6 +79,32 @@ def q06_hallucination_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verbatim(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.sum(score).alias("total_score"))
 
 
+def _verbatim_in_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel captions against all legends that any section row of their manuscript has."""
+    sections = spread(table(spark, sf_dir, "extracted_sections").select("manuscript_id", "figure_legends").where("figure_legends IS NOT NULL").distinct())
+    sources = sections.select("manuscript_id", text.normalize_basic(F.col("figure_legends")).alias("legends"))
+    return linkage.contained_in_any(_panel_captions(spark, sf_dir), sources, "manuscript_id", "caption", "legends")
+
+
+_VERBATIM_IN_ANY_SQL = f"""
+    WITH s AS (SELECT DISTINCT manuscript_id, {BASIC.format("figure_legends")} AS legends FROM extracted_sections WHERE figure_legends IS NOT NULL),
+    p AS (SELECT panel_info_id, manuscript_id, source, {BASIC.format("panel_caption")} AS caption FROM panel_info),
+    h AS (SELECT DISTINCT manuscript_id, caption, true AS hit FROM (SELECT DISTINCT manuscript_id, caption FROM p WHERE caption <> '') JOIN s USING (manuscript_id) WHERE contains(legends, caption))
+    SELECT panel_info_id, source, coalesce(hit, false) AS is_verbatim FROM p LEFT JOIN h USING (manuscript_id, caption)
+"""
+
+
+@query(f"SELECT panel_info_id, is_verbatim FROM ({_VERBATIM_IN_ANY_SQL})")
+def q05b_verbatim_any_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _verbatim_in_any(spark, sf_dir).select("panel_info_id", "is_verbatim")
+
+
+@query(f"SELECT source, count(*) AS n, sum(CASE WHEN is_verbatim THEN 0.0 ELSE 1.0 END)::DOUBLE AS total_score FROM ({_VERBATIM_IN_ANY_SQL}) GROUP BY source")
+def q06b_hallucination_any_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = F.when(F.col("is_verbatim"), 0.0).otherwise(1.0)
+    return _verbatim_in_any(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.sum(score).alias("total_score"))
+
+
 @query()
 def q07_hallucination_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of individual captions against their panels' text: exact ones in the JVM, the rest by likeness."""

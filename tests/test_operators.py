@@ -46,6 +46,31 @@ def test_contained(spark):
     assert got == {1: True, 2: False, 3: False, 4: False, 5: False}
 
 
+def test_contained_in_any_source_of_the_key(spark, monkeypatch):
+    monkeypatch.setattr(linkage.meet, "__defaults__", (2,))  # every key is hot
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    rows = [(i, rng.choice(["m", "n", "o", None]), rng.choice([None, "", word(3), word(4)])) for i in range(80)]
+    texts = [(rng.choice(["m", "n", None]), rng.choice([None, word(8)])) for _ in range(30)]
+    got = linkage.contained_in_any(spark.createDataFrame(rows, "i int, k string, e string"), spark.createDataFrame(texts, "k string, s string"), "k", "e", "s").collect()
+    want = {i: bool(k and e and any(q == k and s and e in s for q, s in texts)) for i, k, e in rows}
+    assert len(got) == len(rows) and {r.i: r.is_verbatim for r in got} == want
+    assert 0 < sum(want.values()) < len(rows)
+
+
+def test_verbatim_in_an_older_section(spark, tmp_path):
+    """A caption that stands in an older section row only is verbatim in some section."""
+    from folioforge.plans import registry
+
+    sections = spark.createDataFrame([(1, "m", "Old <b>Cells</b> here", 1), (2, "m", "new text", 2)], "section_id long, manuscript_id string, figure_legends string, t long")
+    sections.selectExpr("section_id", "manuscript_id", "figure_legends", "timestamp_seconds(t) AS extracted_at").write.parquet(str(tmp_path / "extracted_sections.parquet"))
+    panels = spark.createDataFrame([(1, "m", "a", "cells"), (2, "m", "a", "new"), (3, "m", "a", "none"), (4, "n", "a", "new")], "panel_info_id long, manuscript_id string, source string, panel_caption string")
+    panels.write.parquet(str(tmp_path / "panel_info.parquet"))
+    got = registry.QUERIES["q05b_verbatim_any_section"](spark, str(tmp_path)).collect()
+    assert {r.panel_info_id: r.is_verbatim for r in got} == {1: True, 2: True, 3: False, 4: False}
+    assert [tuple(r) for r in registry.QUERIES["q06b_hallucination_any_section"](spark, str(tmp_path)).collect()] == [("a", 4, 2.0)]
+
+
 def test_longest_prefix_against_all_pairs(spark):
     rng = random.Random(3)
     word = lambda n: "".join(rng.choice("ab") for _ in range(n))
