@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,28 @@ def contained_in_any(extracts: DataFrame, sources: DataFrame, key: str, extract:
     return extracts.join(hits.withColumn("__hit", F.lit(True)), [key, extract], "left").withColumn("is_verbatim", F.coalesce("__hit", F.lit(False))).drop("__hit")
 
 
+def pair_accuracy(df: DataFrame, key: str, expected: str, name: str, exact: list[str]) -> DataFrame:
+    """(key, accuracy): mean field matches over all pairs of expected and actual rows of a key,
+    by its number of expected rows; may exceed 1.
+
+    The exact fields match by equality, nulls too: equal values are counted on either side and
+    multiplied, so no pair is made. Names match where either, in lower case, contains the
+    other: only the distinct names of a key meet, weighted by their counts.
+    """
+    sides = df.withColumn("__e", F.col(expected).cast("bigint")).withColumn("__a", 1 - F.col("__e"))
+    count = lambda *by: sides.groupBy(key, *by).agg(F.sum("__e").alias("__e"), F.sum("__a").alias("__a"))
+    names = count(F.lower(name).alias("__name"))
+    equal = [count(c) for c in exact] + [names]
+    products = [g.select(key, (F.col("__e") * F.col("__a")).alias("__hits")) for g in equal]
+    left = names.where("__e > 0 AND __name IS NOT NULL").select(key, F.col("__name").alias("__x"), "__e")
+    right = names.where("__a > 0 AND __name IS NOT NULL").select(key, F.col("__name").alias("__y"), "__a")
+    partial = meet(left, right, key, "__x", "__y").where("__x <> __y AND (contains(__x, __y) OR contains(__y, __x))")
+    hits = reduce(DataFrame.unionByName, [*products, partial.select(key, (F.col("__e") * F.col("__a")).alias("__hits"))])
+    n = count().select(key, F.greatest("__e", F.lit(1)).alias("__n"))
+    sums = hits.groupBy(key).agg(F.sum("__hits").alias("__hits"))
+    return sums.join(n, key).select(key, (F.col("__hits") / (len(exact) + 1) / F.col("__n")).alias("accuracy"))
+
+
 def longest_prefix(df: DataFrame, value: str, dimension: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
     """df with the columns of the longest entry that begins the value; null where none does.
 

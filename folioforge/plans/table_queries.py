@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,13 +177,11 @@ def q36_registry_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     m AS (SELECT l_orderkey, field, v, (count(*) FILTER (WHERE expected) * count(*) FILTER (WHERE NOT expected))::BIGINT AS pairs FROM k GROUP BY ALL), s AS (SELECT l_orderkey, sum(pairs) AS hits FROM m GROUP BY 1)
     SELECT l_orderkey, round(hits::DOUBLE / 3 / greatest(n, 1), 6) AS accuracy FROM s JOIN n USING (l_orderkey)""")
 def q37_source_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean of three field matches over all pairs of expected and actual rows of an order. Equal
-    values are counted on either side and multiplied, so no pair is ever made; may exceed 1."""
-    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "l_returnflag")).withColumn("expected", (F.col("l_returnflag") == "R").cast("bigint"))
-    products = [lines.groupBy("l_orderkey", c).agg((F.sum("expected") * F.sum(1 - F.col("expected"))).alias("hits")).select("l_orderkey", "hits") for c in ("l_partkey", "l_suppkey", "l_linestatus")]
-    hits = reduce(DataFrame.unionByName, products).groupBy("l_orderkey").agg(F.sum("hits").alias("hits"))
-    n = lines.groupBy("l_orderkey").agg(F.greatest(F.sum("expected"), F.lit(1)).alias("n"))
-    return hits.join(n, "l_orderkey").select("l_orderkey", F.round(F.col("hits") / 3 / F.col("n"), 6).alias("accuracy"))
+    """Mean of three field matches over all pairs of expected and actual rows of an order; the
+    line status, a single letter, stands for the database name. May exceed 1."""
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linestatus", "l_returnflag")).withColumn("expected", F.col("l_returnflag") == "R")
+    got = linkage.pair_accuracy(lines, "l_orderkey", "expected", "l_linestatus", ["l_partkey", "l_suppkey"])
+    return got.select("l_orderkey", F.round("accuracy", 6).alias("accuracy"))
 
 
 @query("""SELECT n_name AS model, t AS temperature, r AS run FROM nation CROSS JOIN (VALUES (0), (5)) a(t) CROSS JOIN range(1, 4) b(r) WHERE NOT EXISTS (SELECT 1 FROM region WHERE r_regionkey = n_regionkey AND r_regionkey + r = 3)""")

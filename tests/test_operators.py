@@ -71,6 +71,24 @@ def test_verbatim_in_an_older_section(spark, tmp_path):
     assert [tuple(r) for r in registry.QUERIES["q06b_hallucination_any_section"](spark, str(tmp_path)).collect()] == [("a", 4, 2.0)]
 
 
+def test_pair_accuracy_matches_names_in_part(spark, monkeypatch):
+    """Against all pairs, as the reference counts them."""
+    rng = random.Random(6)
+    names = ["GEO", "geo", "NCBI GEO", "ncbi", "BioStudies", ""]
+    rows = [(rng.choice("pqr"), rng.random() < 0.4, rng.choice(names), rng.choice(["x", "y", None]), rng.choice(["u", None])) for _ in range(60)]
+    rows += [("s", True, "GEO", "x", "u"), ("s", False, "NCBI Geo", "y", "v"), ("t", False, "GEO", "x", "u"), ("v", True, "GEO", "x", "u")]
+    want = {}
+    for k in "pqrstv":
+        e, a = [r for r in rows if r[0] == k and r[1]], [r for r in rows if r[0] == k and not r[1]]
+        hits = sum((x[2].lower() in y[2].lower() or y[2].lower() in x[2].lower()) + (x[3] == y[3]) + (x[4] == y[4]) for x in e for y in a)
+        want[k] = pytest.approx(hits / 3 / max(len(e), 1))
+    df = spark.createDataFrame(rows, "k string, e boolean, d string, n string, u string")
+    for rows_a_task in (1_000, 2):
+        monkeypatch.setattr(linkage.meet, "__defaults__", (rows_a_task,))
+        assert {r.k: r.accuracy for r in linkage.pair_accuracy(df, "k", "e", "d", ["n", "u"]).collect()} == want
+    assert want["s"] == 1 / 3
+
+
 def test_longest_prefix_against_all_pairs(spark):
     rng = random.Random(3)
     word = lambda n: "".join(rng.choice("ab") for _ in range(n))
