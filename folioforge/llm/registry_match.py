@@ -15,6 +15,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -142,13 +143,54 @@ class BKTree:
 
 # Kinds of spelling, the better first; a name beats a turned name beats a part of one.
 FULL, TURNED, PART = 0, 1, 2
+#: The rank of no entry.
+NO_RANK = 1 << 20
+
+
+class Vocabulary:
+    """The words of the names of a whole list, and what a typed word can stand for among them."""
+
+    def __init__(self, listed: list[str]) -> None:
+        self.words = listed  # sorted
+        self.tree = BKTree(listed)
+        self.start_tree = BKTree(sorted({w[:k] for w in listed for k in range(3, len(w))}))
+        self.by_letter: dict[str, list[str]] = {}
+        for w in listed:
+            self.by_letter.setdefault(w[0], []).append(w)
+        self.known: dict[str, dict[str, int]] = {}
+
+    def costs(self, t: str) -> dict[str, int]:
+        """Words of the list that t can stand for, with the edits that takes."""
+        if t not in self.known:
+            found = {}
+            if len(t) > 1:
+                for w in self.words[bisect_left(self.words, t) :]:
+                    if not w.startswith(t):
+                        break
+                    found[w] = 0
+                if len(t) > 2 and not set(t[1:]) & set("aeiou"):
+                    found |= {w: 0 for w in self.by_letter.get(t[0], ()) if skeleton(t, w)}
+            for d, w in self.tree.within(t, 0 if len(t) < 3 else 1 if len(t) < 7 else 2):
+                if d < len(w) - 1:
+                    found[w] = min(d, found.get(w, d))
+            if not found and len(t) > 3:
+                for d, start in self.start_tree.within(t, 1):
+                    for w in self.words[bisect_left(self.words, start) :]:
+                        if not w.startswith(start):
+                            break
+                        found[w] = d
+            if len(self.known) > 100_000:
+                self.known.clear()
+            self.known[t] = found
+        return self.known[t]
 
 
 class Matcher:
     """The tree of one list (or shard of it) and what decides between entries."""
 
-    def __init__(self, entries: list[tuple]) -> None:
-        """entries: (registry_id, name, url_pattern, identifiers_pattern, local_pattern, sample_id)."""
+    def __init__(self, entries: list[tuple], vocabulary: Vocabulary | None = None) -> None:
+        """entries: (registry_id, name, url_pattern, identifiers_pattern, local_pattern, sample_id);
+        vocabulary: that of the whole list, if the entries are a shard of it."""
         self.spelt: dict[str, dict[int, int]] = {}
         self.codes: dict[str, set[int]] = {}
         self.names: dict[int, list[str]] = {}
@@ -184,13 +226,7 @@ class Matcher:
             except re.error:
                 self.accession[rid] = None
         self.tree = BKTree(sorted(self.spelt))
-        self.vocabulary = sorted(self.by_word)
-        self.word_tree = BKTree(self.vocabulary)
-        self.start_tree = BKTree(sorted({w[:k] for w in self.vocabulary for k in range(3, len(w))}))
-        self.by_letter: dict[str, list[str]] = {}
-        for w in self.vocabulary:
-            self.by_letter.setdefault(w[0], []).append(w)
-        self.word_costs: dict[str, dict[str, int]] = {}
+        self.vocabulary = vocabulary or Vocabulary(sorted(self.by_word))
         self.fits: dict[str, dict[int, int]] = {}
 
     def _spell(self, key: str, rid: int, kind: int) -> None:
@@ -199,20 +235,27 @@ class Matcher:
 
     def search(self, value: str, accession: str | None, url: str | None = None) -> tuple[int, int]:
         """(rank, registry_id) of the best entry, the smaller rank the better; id 0 when none fits."""
+        rank, *groups = self.best(value, accession, url)
+        n, rid = next((g for g in groups if g[0]), (0, 0))
+        return (rank, rid if n == 1 else 0)
+
+    def best(self, value: str, accession: str | None, url: str | None = None) -> tuple[int, tuple[int, int], tuple[int, int], tuple[int, int]]:
+        """The best rank and, as (number, least id), its entries of which the accession number
+        tells, those of which the host of the URL tells, and all: the first of these groups that
+        is not empty decides, and it decides for an entry only if it has but one. Numbers of
+        shards with the same best rank add up to those of the whole list."""
         if value not in self.fits:
             if len(self.fits) > 100_000:
                 self.fits.clear()
             self.fits[value] = self._fits(value)
         fits = self.fits[value]
         if not fits:
-            return (1 << 20, 0)
+            return (NO_RANK, (0, 0), (0, 0), (0, 0))
         best = min(fits.values())
-        alike = sorted(r for r, s in fits.items() if s == best)
-        if len(alike) > 1:
-            typed = [r for r in alike if accession and (p := self.accession[r]) and p.fullmatch(accession.strip())]
-            hosted = [r for r in alike if url and self.host[r] and self.host[r] in url.lower()]
-            alike = typed or hosted or alike
-        return (best, alike[0] if len(alike) == 1 else 0)
+        alike = [r for r, s in fits.items() if s == best]
+        typed = [r for r in alike if accession and (p := self.accession[r]) and p.fullmatch(accession.strip())]
+        hosted = [r for r in alike if url and self.host[r] and self.host[r] in url.lower()]
+        return (best, *((len(g), min(g, default=0)) for g in (typed, hosted, alike)))
 
     def _fits(self, value: str) -> dict[int, int]:
         """Rank of every entry that the value can mean, by the first reading that means any."""
@@ -231,45 +274,20 @@ class Matcher:
             for r in self._abbreviated(words(text)):
                 found[r] = min(found.get(r, 1 << 10), 40)
             if found:
-                return {r: s + 100 * min(penalty, 99) for r, s in found.items()}
+                return {r: s + 100 * penalty for r, s in found.items()}
         return {}
 
     def _abbreviated(self, typed: list[str]) -> set[int]:
         """Entries whose words are typed in order, each whole, shortened or with few edits."""
         if not 2 <= len(typed) <= 12:
             return set()
-        costs = [self._word_costs(t) for t in typed]
-        glued = [self._word_costs(a + b) for a, b in zip(typed, typed[1:])]
+        costs = [self.vocabulary.costs(t) for t in typed]
+        glued = [self.vocabulary.costs(a + b) for a, b in zip(typed, typed[1:])]
         split = [self._split_costs(t) for t in typed]
-        could = {r for w in [*costs[0], *(glued[0] if glued else ()), *(x for x, _ in split[0])] for r in self.by_word[w]}
+        could = {r for w in [*costs[0], *(glued[0] if glued else ()), *(x for x, _ in split[0])] for r in self.by_word.get(w, ())}
         most = edits_allowed(sum(map(len, typed))) or 1
         return {r for r in could if self._aligned(self.names[r], costs, glued, split) <= most}
 
-    def _word_costs(self, t: str) -> dict[str, int]:
-        """Words of the list that t can stand for, with the edits that takes."""
-        if t not in self.word_costs:
-            found = {}
-            if len(t) > 1:
-                for w in self.vocabulary[bisect_left(self.vocabulary, t) :]:
-                    if not w.startswith(t):
-                        break
-                    found[w] = 0
-                if len(t) > 2 and not set(t[1:]) & set("aeiou"):
-                    found |= {w: 0 for w in self.by_letter.get(t[0], ()) if skeleton(t, w)}
-            for d, w in self.word_tree.within(t, 0 if len(t) < 3 else 1 if len(t) < 7 else 2):
-                if d < len(w) - 1:
-                    found[w] = min(d, found.get(w, d))
-            if not found and len(t) > 3:
-                for d, start in self.start_tree.within(t, 1):
-                    for w in self.vocabulary[bisect_left(self.vocabulary, start) :]:
-                        if not w.startswith(start):
-                            break
-                        found[w] = d
-            if len(self.word_costs) > 100_000:
-                self.word_costs.clear()
-            self.word_costs[t] = found
-        return self.word_costs[t]
-
     def _split_costs(self, t: str) -> list[tuple[str, str]]:
         """Pairs of words of the list that t writes as one."""
         return [(t[:k], t[k:]) for k in range(2, len(t) - 1) if t[:k] in self.by_word and t[k:] in self.by_word]
@@ -353,7 +371,7 @@ def match_names(df: DataFrame, entries: DataFrame, id_col: str = "data_source_id
     when the value means no entry, or several alike that neither accession number nor URL
     tells apart. Repeated rows get the same answer; an empty list answers 0 for every value.
     The list is counted first: one shard is searched in every task, several shards each by
-    their own pass, and the best of the shard winners stays.
+    their own pass; what fits alike in several shards is told apart after they are merged.
     """
     rows = df.where(F.col(value).isNotNull() & (F.length(F.trim(F.regexp_replace(value, r"(?U)\s+", " "))) > 0))
     rows = rows.select(F.col(id_col).alias("id"), F.col(value).alias("value"), F.col(accession).alias("acc"), F.col(url).alias("url"))
@@ -382,24 +400,49 @@ def _search(batches: Iterator[pd.DataFrame], listed: list[tuple]) -> Iterator[pd
         yield pd.DataFrame(out, columns=["id", "value", "rank", "registry_id", "exact"])
 
 
+GROUPS = ("typed", "hosted", "alike")
+SHARD_BEST = "value string, acc string, url string, rank int, " + ", ".join(f"{g}_n bigint, {g}_id bigint" for g in GROUPS)
+
+
+@lru_cache(maxsize=1)
+def _vocabulary(listed: tuple[str, ...]) -> Vocabulary:
+    return Vocabulary(list(listed))
+
+
 def _sharded(rows: DataFrame, fields: DataFrame, shards: int) -> DataFrame:
-    """Each row meets each shard of the list; the winner of all shards stays, a tie between
-    shards means several entries alike and gives 0."""
+    """Each distinct case meets each shard of the list. A shard gives how many of its entries
+    have its best rank; those of the best rank of all are added up and decide as in one list.
+    The distinct words of the names travel to every task, the entries do not."""
     tagged = fields.withColumn("shard", F.pmod(F.xxhash64("registry_id"), F.lit(shards)))
-    asked = rows.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
+    cases = rows.select("value", "acc", "url").distinct()
+    asked = cases.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
+
+    def name_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"word": sorted({w for n in b["name"] for w in words(n)})}, dtype=object)
 
-    def one(key: tuple, left: Iterator[pd.DataFrame], right: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        listed = [t for b in right for t in b[list(ENTRY_FIELDS)].itertuples(index=False, name=None)]
-        yield from _search(left, listed)
+    listed_words = tuple(sorted(r[0] for r in fields.select("name").mapInPandas(name_words, "word string").distinct().collect()))
 
-    def whole(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat(list(one(key, iter([left]), iter([right]))))
+    def whole(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        listed = list(right[list(ENTRY_FIELDS)].itertuples(index=False, name=None))
+        matcher, exact, out = Matcher(listed, _vocabulary(listed_words)), {}, []
+        for r in listed:
+            exact[r[1]] = min(r[0], exact.get(r[1], r[0]))
+        for v, a, u in zip(left["value"], left["acc"], left["url"]):
+            rank, *groups = (-1, (0, 0), (0, 0), (1, exact[v])) if v in exact else matcher.best(v, a, u)
+            out.append((v, a, u, rank, *(x for g in groups for x in g)))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SHARD_BEST.split(", ")])
 
     # A shard is searched by many tasks, each over its own block of rows.
     blocks = max(1, rows.rdd.getNumPartitions())
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("value", "acc", "url"), F.lit(blocks)))
     tagged = tagged.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    won = asked.groupBy("shard", "block").cogroup(tagged.groupBy("shard", "block")).applyInPandas(whole, "id bigint, value string, rank int, registry_id bigint, exact boolean")
-    best = won.groupBy("id").agg(F.first("value").alias("value"), F.min("rank").alias("rank"), F.collect_list(F.struct("rank", "registry_id", "exact")).alias("all"))
-    top = F.filter("all", lambda x: x["rank"] == F.col("rank"))
-    return best.select("id", "value", "rank", F.when((F.size(top) == 1) | (F.col("rank") < 0), F.array_min(top)["registry_id"]).otherwise(F.lit(0)).cast("bigint").alias("registry_id"), F.array_max(top)["exact"].alias("exact"))
+    found = asked.groupBy("shard", "block").cogroup(tagged.groupBy("shard", "block")).applyInPandas(whole, SHARD_BEST)
+    ranked = found.groupBy("value", "acc", "url", "rank").agg(*[F.sum(f"{g}_n").alias(f"{g}_n") for g in GROUPS], *[F.min(F.when(F.col(f"{g}_n") > 0, F.col(f"{g}_id"))).alias(f"{g}_id") for g in GROUPS])
+    best = ranked.groupBy("value", "acc", "url").agg(F.min_by(F.struct(*ranked.columns), "rank").alias("b")).select("b.*")
+    # Several entries of exactly this name: the least id, as in one list.
+    only = lambda g: F.when(F.col(f"{g}_n") == 1, F.col(f"{g}_id")).otherwise(F.lit(0))
+    means = F.when(F.col("rank") < 0, F.col("alike_id")).when(F.col("typed_n") > 0, only("typed")).when(F.col("hosted_n") > 0, only("hosted")).otherwise(only("alike"))
+    decided = best.select(*[F.col(c).alias(f"__{c}") for c in ("value", "acc", "url")], "rank", means.cast("bigint").alias("registry_id"), (F.col("rank") < 0).alias("exact"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("value", "acc", "url")))
+    return rows.join(decided, same).select("id", "value", "rank", "registry_id", "exact")

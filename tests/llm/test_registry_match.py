@@ -67,3 +67,19 @@ def test_rows(spark):
     assert {(r.data_source_id, r.registry_id, r.exact) for r in match_names(df, entries, entries_per_shard=2).collect()} == whole
     assert {r.registry_id for r in match_names(df, entries.limit(0)).collect()} == {0}
     assert match_names(df.limit(0), entries).count() == 0
+
+
+@pytest.mark.parametrize("per_shard", [1, 2, 3])
+def test_alike_entries_in_different_shards_are_told_apart(spark, per_shard):
+    """Every list size has the same answer, and repeated ids keep their rows."""
+    entries = ENTRIES + [(6, "European Glycome Archive Sample", "https://ega.example.org/entry/{$id}", "https://ids.example.org/ega:", r"^EGA-\d{9}$", "EGA-1"), (7, "Tumour Panel Cohort", "https://tpd.example.org/x", "https://ids.example.org/tpd:", r"^TPD\d+$", "TPD1")]
+    entries += [(8, "Mouse Organ Atlas", "https://moc.example.org/x", "https://ids.example.org/moc:", r"^MOC\d+$", "MOC1"), (9, "Mousse Orchard", "https://mor.example.org/x", "https://ids.example.org/mor:", None, None)]
+    values = ["European Glycome Archive", "Eur. Glycome Arch.", "Tumour Panel", "Tumor Panel Cen", "Mouse Organ Atlas", "Mouse Organ", "Mous Orgxn Atl", "Glycome Nucleir Spin", "EGA", "nowhere"]
+    accessions, urls = [None, "EGD-234936760", "EGS849970986", "EGA-234936760", "TPC20925616", "MOC1"], [None, "", "https://egs.example.org/x", "see https://ega.example.org/entry/1"]
+    rows = [(i // 2, *r) for i, r in enumerate(itertools.product(values, accessions, urls))]
+    df = spark.createDataFrame(rows, "data_source_id bigint, database string, accession_number string, url string")
+    listed = spark.createDataFrame(entries, "registry_id bigint, name string, url_pattern string, identifiers_pattern string, local_unique_identifier_pattern string, sample_id string")
+    answers = lambda n: sorted((r.data_source_id, r.database, r.registry_id, r.exact) for r in match_names(df, listed, entries_per_shard=n).collect())
+    whole = answers(100)
+    assert len(whole) == len(rows) and answers(per_shard) == whole
+    assert {2, 3, 6} <= {r[2] for r in whole if r[1] == "European Glycome Archive"}
