@@ -4,8 +4,10 @@ A seed is a hash of the words at the set positions of a fixed mask; positions th
 ignores may differ. Every window of every passage and of every document gives one seed for
 each mask; equal seeds are hits, and around each hit the words are compared along the
 diagonal: exactly, for the longest run of equal words, and with substitutions allowed, for
-the best-scoring overlap. The first mask spans no more words than the shortest run asked
-for, so every such run holds a seed: nothing that is asked for can be missed.
+the best-scoring overlap. Runs are searched by masks that span no more words than the
+shortest run asked for, so every such run holds a seed. Overlaps are searched by shorter
+masks, one of which fits the beginning of every overlap that the scoring allows. Nothing
+that is asked for can be missed.
 """
 
 from __future__ import annotations
@@ -25,6 +27,11 @@ from folioforge.session import materialize
 #: 1: the word counts, 0: any word may stand there. Each spans ten words.
 MASKS = ("1110110111", "1011011101")
 RUN = len(MASKS[0])
+#: Masks for overlaps of RUN words and more with substitutions. The score is above 0 after each
+#: word of a best overlap, so that it begins with five equal words at least, k neighbouring
+#: unequal words have more than 4 k equal ones before them, and one that stands after five to
+#: seven equal words has two equal ones behind it. Eight equal words, else the second mask, fit.
+OVERLAP_MASKS = ("11111111", "11111011")
 #: Passages with up to so many seeds travel to every task (16 bytes a seed); more are joined by a shuffle.
 MOST_SEEDS = 2_000_000
 #: Overlap with substitutions: score of an equal and of an unequal word; at this ratio no
@@ -121,10 +128,15 @@ class Passages:
                     name, words = self.ids[key[0]]
                     got = compare(ids, words, key[1])
                     old = found.get(name, (0, 0, 0))
-                    found[name] = (max(old[0], got[0]), *max(old[1:], got[1:], key=lambda x: (x[0] - x[1], -x[1])))
+                    found[name] = better(old, got)
         return found
 
 
+def better(a: tuple[int, int, int], b: tuple[int, int, int]) -> tuple[int, int, int]:
+    """The longer run and, whichever of the two has it, the overlap of more equal words."""
+    return (max(a[0], b[0]), *max(a[1:], b[1:], key=lambda x: (x[0] - x[1], -x[1])))
+
+
 def compare(ids: np.ndarray, words: np.ndarray, shift: int) -> tuple[int, int, int]:
     """Along one diagonal: longest run of equal words; length and unequal words of the best overlap."""
     a, b = max(0, shift), min(len(ids), shift + len(words))
@@ -147,9 +159,10 @@ def compare(ids: np.ndarray, words: np.ndarray, shift: int) -> tuple[int, int, i
 FOUND = "doc_id bigint, item_id bigint, longest_run int, overlap_words int, substituted int"
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage", most_seeds: int = MOST_SEEDS) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage", most_seeds: int = MOST_SEEDS, masks: tuple[str, ...] = MASKS) -> DataFrame:
     """Every (document, item) with a hit: longest run of equal words, best overlap, substitutions.
 
+    MASKS find every run of RUN equal words, OVERLAP_MASKS every overlap of RUN words as well.
     Null, empty and short texts (fewer words than a mask spans) have no seed and no row.
     Repeated documents and items each give their own rows. Words are runs of letters or
     digits; letter case, punctuation, markup, line breaks and division at a line end make
@@ -158,55 +171,55 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     corpus = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     asked = items.where(F.col(passage).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(passage).alias("passage"))
     # A passage has fewer seeds than characters, for each mask twice at most.
-    bound = (asked.agg(F.sum(F.length("passage"))).first()[0] or 0) * 2 * len(MASKS)
+    bound = (asked.agg(F.sum(F.length("passage"))).first()[0] or 0) * 2 * len(masks)
     if bound <= most_seeds:
         listed = [tuple(r) for r in asked.collect()]
-        return spread(corpus).mapInPandas(_meet(listed), FOUND)
-    return _joined(corpus, asked)
+        return spread(corpus).mapInPandas(_meet(listed, masks), FOUND)
+    return _joined(corpus, asked, masks)
 
 
-def _meet(listed: list[tuple[int, str]]):
+def _meet(listed: list[tuple[int, str]], masks: tuple[str, ...]):
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        passages = Passages(listed)
+        passages = Passages(listed, masks)
         for b in batches:
             rows = []
             for i, t in zip(b["doc_id"], b["text"]):
                 best: dict[int, tuple[int, int, int]] = {}
                 for w in word_lists(t):
                     for k, v in passages.overlaps(word_ids(w)).items():
-                        best[k] = max(best.get(k, v), v)
+                        best[k] = better(best.get(k, v), v)
                 rows.extend((i, k, *v) for k, v in best.items())
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "longest_run", "overlap_words", "substituted"])
 
     return meet
 
 
-def _seed_rows(id_col: str, text: str):
+def _seed_rows(id_col: str, text: str, masks: tuple[str, ...]):
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for i, t in zip(b[id_col], b[text]):
-                own = {int(x) for w in word_lists(t) for m in MASKS for x in seeds(word_ids(w), m)}
+                own = {int(x) for w in word_lists(t) for m in masks for x in seeds(word_ids(w), m)}
                 if own:
                     yield pd.DataFrame({"seed": np.fromiter(own, np.uint64, len(own)).view(np.int64), id_col: i})
 
     return emit
 
 
-def _joined(corpus: DataFrame, asked: DataFrame) -> DataFrame:
+def _joined(corpus: DataFrame, asked: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """The same for a list of passages that no task should hold: seeds meet in a shuffle, then
     the texts of each pair that shares one are compared."""
-    a = spread(corpus).mapInPandas(_seed_rows("doc_id", "text"), "seed bigint, doc_id bigint")
-    b = spread(asked).mapInPandas(_seed_rows("item_id", "passage"), "seed bigint, item_id bigint")
+    a = spread(corpus).mapInPandas(_seed_rows("doc_id", "text", masks), "seed bigint, doc_id bigint")
+    b = spread(asked).mapInPandas(_seed_rows("item_id", "passage", masks), "seed bigint, item_id bigint")
     pairs = materialize(a.join(b, "seed").select("doc_id", "item_id").distinct())
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             rows = []
             for i, k, t, p in zip(x["doc_id"], x["item_id"], x["text"], x["passage"]):
-                passages, best = Passages([(k, p)]), None
+                passages, best = Passages([(k, p)], masks), None
                 for w in word_lists(t):
                     got = passages.overlaps(word_ids(w)).get(k)
-                    best = max(best, got) if best and got else best or got
+                    best = better(best, got) if best and got else best or got
                 if best:
                     rows.append((i, k, *best))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "longest_run", "overlap_words", "substituted"])

@@ -76,8 +76,8 @@ def p6_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.agg(F.count("*").alias("containers"), F.sum("items").alias("items"), F.sum("used").alias("tokens"), F.round(F.sum("used") / (F.count("*") * limit), 6).alias("share_used"))
 
 
-def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+def _leaks(spark: SparkSession, sf_dir: str, masks: tuple[str, ...] = leakage.MASKS) -> DataFrame:
+    return leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), masks=masks)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of ten words and more, substitutions allowed."""
-    return _leaks(spark, sf_dir).where(F.col("overlap_words") >= leakage.RUN)
+    return _leaks(spark, sf_dir, leakage.OVERLAP_MASKS).where(F.col("overlap_words") >= leakage.RUN)
 
 
 def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:

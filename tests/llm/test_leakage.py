@@ -1,9 +1,10 @@
+import itertools
 import random
 
 import numpy as np
 import pytest
 
-from folioforge.llm.leakage import MASKS, RUN, compare, find_leaks, seeds, word_ids, word_lists
+from folioforge.llm.leakage import MASKS, OVERLAP_MASKS, RUN, compare, find_leaks, seeds, word_ids, word_lists
 
 
 def test_words():
@@ -69,3 +70,39 @@ def test_substitutions_are_tolerated(spark):
     df = spark.createDataFrame([(1, " ".join(changed))], "doc_id bigint, text string")
     r = find_leaks(df, spark.createDataFrame([(7, " ".join(w))], "item_id bigint, passage string")).first()
     assert r.longest_run < RUN and r.overlap_words >= 30 and 0 < r.substituted * 5 <= r.overlap_words
+
+
+def test_every_overlap_that_the_scoring_allows_holds_a_seed():
+    """All patterns of equal and unequal words up to 21 long, and longer ones at random."""
+    hits = [[k for k, b in enumerate(m) if b == "1"] for m in OVERLAP_MASKS]
+    rng = random.Random(11)
+    short = (bits for n in range(10, 22) for bits in itertools.product((True, False), repeat=n - 10) for bits in [(True,) * 5 + bits + (True,) * 5])
+    long = ([rng.random() < 0.8 for _ in range(rng.randint(20, 80))] for _ in range(3_000))
+    allowed = 0
+    for bits in itertools.chain(short, long):
+        words = np.array([0 if b else 1 for b in bits], np.uint64)
+        if compare(words, np.zeros(len(bits), np.uint64), 0)[1] < RUN:
+            continue
+        allowed += 1
+        assert any(all(bits[p + k] for k in at) for m, at in zip(OVERLAP_MASKS, hits) for p in range(len(bits) - len(m) + 1)), bits
+    assert allowed > 1_000
+
+
+@pytest.mark.parametrize("most_seeds", [10**9, 0])
+def test_neighbouring_changed_words_are_found(spark, most_seeds):
+    p = [f"p{i}" for i in range(20)]
+    docs = [(1, ["a", *p[:9], "x", "y", *p[11:], "b"]), (2, [*p[:5], "x", *p[6:11]]), (3, [*p[:5], "x", "y", *p[7:11]])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id bigint, text string")
+    ask = spark.createDataFrame([(7, " ".join(p))], "item_id bigint, passage string")
+    got = find_leaks(df, ask, most_seeds=most_seeds, masks=OVERLAP_MASKS).where(f"overlap_words >= {RUN}").collect()
+    assert {(r.doc_id, r.longest_run, r.overlap_words, r.substituted) for r in got} == {(1, 9, 20, 2), (2, 5, 11, 1)}
+
+
+@pytest.mark.parametrize("most_seeds", [10**9, 0])
+def test_run_and_overlap_of_different_readings(spark, most_seeds):
+    """With the words joined at line ends the best overlap, without that the longest run."""
+    w, v = [f"w{i}" for i in range(17)], [f"v{i}" for i in range(8)]
+    doc = " ".join([*w[:8], "x-\ny", *w[9:], "z", "z", *v, "foo-\nbar"])
+    ask = spark.createDataFrame([(7, " ".join([*w, *v, "foo"]))], "item_id bigint, passage string")
+    r = find_leaks(spark.createDataFrame([(1, doc)], "doc_id bigint, text string"), ask, most_seeds=most_seeds, masks=OVERLAP_MASKS).first()
+    assert (r.longest_run, r.overlap_words, r.substituted) == (9, 17, 1)
