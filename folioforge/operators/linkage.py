@@ -110,6 +110,12 @@ def allowed_only(df: DataFrame, allowed: DataFrame, on: str) -> DataFrame:
     return df.join(allowed.select(on).distinct(), on, "left_semi")
 
 
+def expected_only(df: DataFrame, expected: DataFrame, key: str, on: str) -> DataFrame:
+    """Rows whose value is in the expected list of their key; all rows of a key without a list."""
+    listed = df.join(expected.select(key, on).distinct(), [key, on], "left_semi")
+    return listed.select(*df.columns).unionByName(df.join(expected.select(key).distinct(), key, "left_anti").select(*df.columns))
+
+
 def todo(grid: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Cases of the grid without a result yet."""
     return grid.join(done.select(*keys), keys, "left_anti")

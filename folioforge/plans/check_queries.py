@@ -25,6 +25,14 @@ def q41_label_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.allowed_only(ranked.withColumn("label", F.upper("panel_label")), expected, "label").select("caption_id", "panel_id")
 
 
+@query("SELECT caption_id, panel_id FROM panel_list WHERE upper(panel_label) IN ('A', 'B') AND caption_id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM individual_caption c WHERE c.caption_id = panel_list.caption_id)")
+def q41b_expected_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All panels of a caption whose label is an expected one; captions unknown have no list and keep all."""
+    rows = table(spark, sf_dir, "panel_list").select("caption_id", "panel_id", F.upper("panel_label").alias("label"))
+    expected = table(spark, sf_dir, "individual_caption").select("caption_id", F.explode(F.array(F.lit("A"), F.lit("B"))).alias("label"))
+    return linkage.expected_only(rows, expected, "caption_id", "label").select("caption_id", "panel_id")
+
+
 @query(f"SELECT tags, count(*) AS n FROM (SELECT {_TAG_SQL} AS tags FROM panel_info WHERE panel_caption IS NOT NULL) GROUP BY tags")
 def q42_keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = checks.keyword_rules(F.col("panel_caption"), _TAGS)

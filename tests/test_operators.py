@@ -89,6 +89,17 @@ def test_pair_accuracy_matches_names_in_part(spark, monkeypatch):
     assert want["s"] == 1 / 3
 
 
+def test_expected_labels(spark, tmp_path):
+    """A third panel passes, and a key without a list keeps all rows."""
+    from folioforge.plans import registry
+
+    panels = [(1, 1, "x"), (1, 2, "y"), (1, 3, "a"), (1, 4, None), (2, 5, "x"), (2, 6, None), (None, 7, "x")]
+    spark.createDataFrame(panels, "caption_id long, panel_id long, panel_label string").write.parquet(str(tmp_path / "panel_list.parquet"))
+    spark.createDataFrame([(1,)], "caption_id long").write.parquet(str(tmp_path / "individual_caption.parquet"))
+    got = registry.QUERIES["q41b_expected_labels"](spark, str(tmp_path)).collect()
+    assert sorted(r.panel_id for r in got) == [3, 5, 6, 7]
+
+
 def test_longest_prefix_against_all_pairs(spark):
     rng = random.Random(3)
     word = lambda n: "".join(rng.choice("ab") for _ in range(n))
