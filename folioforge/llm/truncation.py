@@ -200,7 +200,7 @@ def limits_of(pdf: pd.DataFrame) -> pd.DataFrame:
     left = pdf.copy()
     total = int(pdf["n"].sum())
     found = []
-    for _ in range(8):
+    while True:  # each round takes values out of the histogram
         best = None
         for unit, width in (("n_chars", 2), ("n_bytes", 4)):
             h = left.groupby(unit)["n_open"].sum()

@@ -2,9 +2,10 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from folioforge.llm.truncation import fit_censored, judge
+from folioforge.llm.truncation import fit_censored, judge, limits_of
 
 rng = random.Random(21)
 NAMES = "Vaburin Zumator Kebemin Tirolin Sodotor Fenaxin Milimetor Repurin Golamin Danelin".split()
@@ -71,3 +72,15 @@ def test_censored_fit_finds_the_parameters(seed):
     assert math.isclose(mu, 5.5, abs_tol=0.03) and math.isclose(sigma, 0.6, abs_tol=0.03)
     naive = fit_censored(seen, np.ones(len(seen)), np.empty(0), np.empty(0))
     assert naive[0] < 5.4
+
+
+def test_more_than_eight_limits():
+    """A source may have any number of limits, each a pile of open endings."""
+    rng = np.random.default_rng(8)
+    lengths = np.clip(np.round(rng.lognormal(6, 0.9, 4_000)), 25, 4_000).astype(int)
+    limits = [100 + 150 * k for k in range(12)]
+    rows = [(n, 1, 0.05, 1) for n in lengths] + [(n, 60, 60.0, 0) for n in limits]
+    pdf = pd.DataFrame(rows, columns=["n_chars", "n", "n_open", "n_ended"]).groupby("n_chars", as_index=False).sum()
+    pdf = pdf.assign(table_name="t", source="s", n_bytes=pdf["n_chars"] + 7)
+    got = limits_of(pdf)
+    assert {a - 7 if u == "n_bytes" else a for u, a in zip(got.iloc[:, 2], got.iloc[:, 3])} == set(limits)
