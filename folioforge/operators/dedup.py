@@ -53,6 +53,18 @@ def nearest_to_group(points: DataFrame, key: str, id_col: str, coordinates: list
     return far.join(won, key).select(key, id_col, "distance", (F.col(id_col) == F.col("winner")).alias("is_winner"))
 
 
+def nearest_to_original(points: DataFrame, originals: DataFrame, key: str, id_col: str, coordinates: list[str], confidence: str) -> DataFrame:
+    """(key, id, distance, is_winner): squared distance to the original point of the key, of which
+    originals has at most one; the nearest point, by id among equals, wins. Where the key has no
+    original point, distance is null and the highest confidence wins."""
+    at = originals.select(key, *[F.col(c).cast("double").alias(f"__{c}") for c in coordinates])
+    apart = reduce(lambda a, b: a + b, ((F.col(c) - F.col(f"__{c}")) * (F.col(c) - F.col(f"__{c}")) for c in coordinates))
+    far = points.join(at, key, "left").select(key, id_col, confidence, apart.alias("distance"))
+    order = F.struct(F.col("distance").isNull(), "distance", F.when(F.col("distance").isNull(), F.struct(F.col(confidence).isNull(), -F.col(confidence))), id_col)
+    won = far.groupBy(key).agg(F.min_by(id_col, order).alias("winner"))
+    return far.join(won, key).select(key, id_col, "distance", (F.col(id_col) == F.col("winner")).alias("is_winner"))
+
+
 def free_labels(df: DataFrame, group: str, order: str, label: str) -> DataFrame:
     """(group, order, new_label) for each row without a label: the next letters not in use in
     its group, A to Z, then AA to ZZ, then unknown, after all named labels are taken.

@@ -100,6 +100,15 @@ def test_expected_labels(spark, tmp_path):
     assert sorted(r.panel_id for r in got) == [3, 5, 6, 7]
 
 
+def test_nearest_to_original_or_most_confident(spark):
+    rows = [("a", 1, 0.0, 0.0, 0.9), ("a", 2, 4.0, 4.0, 0.1), ("a", 3, 6.0, 4.0, 0.5), ("b", 4, 0.0, 0.0, 0.2), ("b", 5, 9.0, 9.0, 0.8), ("b", 6, 1.0, 1.0, None), ("c", 7, 1.0, 1.0, 0.3)]
+    points = spark.createDataFrame(rows, "k string, i int, x double, y double, c double")
+    originals = spark.createDataFrame([("a", 5.0, 4.0), ("c", None, None), ("z", 1.0, 1.0)], "k string, x double, y double")
+    got = dedup.nearest_to_original(points, originals, "k", "i", ["x", "y"], "c").collect()
+    assert len(got) == len(rows) and {r.i for r in got if r.is_winner} == {2, 5, 7}
+    assert {r.i: r.distance for r in got if r.k != "c"} == {1: 41.0, 2: 1.0, 3: 1.0, 4: None, 5: None, 6: None}
+
+
 def test_longest_prefix_against_all_pairs(spark):
     rng = random.Random(3)
     word = lambda n: "".join(rng.choice("ab") for _ in range(n))
