@@ -120,23 +120,45 @@ class Merkle:
         nested = isinstance(value, (dict, list))
         if nested and (node := self.known.get(id(value))):
             return node
-        body = self.canonical(value, kind)
-        node = hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        body = self._body(value, kind)
+        if isinstance(value, dict):
+            return self.known[id(value)]
+        node = _digest(body)
         if nested:
             self.known[id(value)] = node
-            if isinstance(value, dict):
-                self.store[node] = (kind, body)
         return node
 
-    def canonical(self, value: object, kind: str) -> str:
+    def _body(self, value: object, kind: str) -> str:
+        """The canonical form, children before parents on a stack of its own: no depth that the
+        parser accepts is too deep."""
+        bodies: dict[int, str] = {}
+        stack = [(value, kind, False)]
+        while stack:
+            v, k, ready = stack.pop()
+            if not isinstance(v, (dict, list)) or id(v) in (self.known if isinstance(v, dict) else bodies):
+                continue
+            if not ready:
+                children = [(v[x], KINDS.get(x, "object"), False) for x in sorted(v)] if isinstance(v, dict) else [(x, k, False) for x in v]
+                stack.append((v, k, True))
+                stack.extend(c for c in reversed(children) if isinstance(c[0], (dict, list)))
+            elif isinstance(v, dict):
+                body = "{" + ",".join(f"{json.dumps(x, ensure_ascii=False)}:{self._child(v[x], bodies)}" for x in sorted(v)) + "}"
+                self.known[id(v)] = node = _digest(body)
+                self.store[node] = (k, body)
+                if v is value:
+                    bodies[id(v)] = body
+            else:
+                bodies[id(v)] = "[" + ",".join(self._child(x, bodies) for x in v) + "]"
+        return bodies[id(value)] if isinstance(value, (dict, list)) else json.dumps(value, ensure_ascii=False)
+
+    def _child(self, value: object, bodies: dict[int, str]) -> str:
         if isinstance(value, dict):
-            return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{self._child(value[k], KINDS.get(k, 'object'))}" for k in sorted(value)) + "}"
-        if isinstance(value, list):
-            return "[" + ",".join(self._child(x, kind) for x in value) + "]"
-        return json.dumps(value, ensure_ascii=False)
+            return "@" + self.known[id(value)]
+        return bodies[id(value)] if isinstance(value, list) else json.dumps(value, ensure_ascii=False)
+
 
-    def _child(self, value: object, kind: str) -> str:
-        return "@" + self.identity(value, kind) if isinstance(value, dict) else self.canonical(value, kind)
+def _digest(body: str) -> str:
+    return hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 #: Name of the field a child object stands in -> kind of the object.
@@ -197,10 +219,7 @@ def _walk(batches: Iterator[pa.RecordBatch], what: str) -> Iterator[pa.RecordBat
             if doc is None:
                 continue
             merkle = Merkle()
-            try:
-                merkle.identity(doc, "manuscript" if manuscript(doc) is doc else "envelope")
-            except RecursionError:
-                continue  # as a document too deep for the parser
+            merkle.identity(doc, "manuscript" if manuscript(doc) is doc else "envelope")
             if what == "objects":
                 for node, (kind, body) in merkle.store.items():
                     if node not in seen:

@@ -1,5 +1,6 @@
 import json
 
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -84,3 +85,11 @@ def test_objects_can_be_put_together_again(value):
     bodies = {k: v for k, (_, v) in m.store.items()}
     assert root and all(body.startswith("{") for body in bodies.values())
     assert nested.Merkle().identity([json.loads(json.dumps(value))]) == root
+
+
+@pytest.mark.parametrize(("opening", "closing"), [('{"a":', "}"), ("[", "]"), ('[{"a":', "}]")])
+def test_a_deep_field_drops_no_record(opening, closing):
+    depth = 800 // len(closing)
+    payload = '{"figures": [{"panels": [{}]}], "other": ' + opening * depth + "1" + closing * depth + "}"
+    batch = pa.RecordBatch.from_pydict({"id": [1], "payload": [payload]})
+    assert sum(b.num_rows for b in nested._walk(iter([batch]), "bridge")) == 2
