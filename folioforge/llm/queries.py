@@ -52,6 +52,11 @@ def p4_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named(spark, sf_dir).where("registry_id = 0").groupBy("database").agg(F.count("*").alias("n_rows"))
 
 
+def p4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that are an entry's name as they stand."""
+    return _named(spark, sf_dir).where("exact").select("data_source_id", "registry_id")
+
+
 FIELDS = ["figure_legends", "data_availability"]
 
 
@@ -103,8 +108,9 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam.find_spam(table(spark, sf_dir, "documents")).withColumn("stuffed_share", F.round("stuffed_share", 6))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_normalized, p4_found, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_normalized, p4_found, p4_exact, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items, p8_found, p8_shares)}
 ORACLES = {
+    "p4_exact": "SELECT data_source_id, min(registry_id) AS registry_id FROM data_source JOIN identifiers ON database = name GROUP BY data_source_id",
     "p5_found": """
         SELECT section_id, 'figure_legends' AS field_name FROM extracted_sections
         WHERE length(figure_legends) > (SELECT max_size FROM size_limits WHERE limit_name = 'figure_legends')

@@ -4,32 +4,39 @@ Every entry stands in the tree under the spellings people use for it: its name,
 turned around (rotations of its words), leading parts of the name, and, to be met exactly,
 its short code, initials and host. Distances are Damerau-Levenshtein distances of the letters and
 digits alone, a true metric, so the triangle inequality prunes the tree and a search
-returns every entry within the threshold. A value is searched as it stands, without
-wrapping words ("deposited in the ... database"), inside and outside brackets, and with its
-abbreviations expanded. Entries that fit alike are told apart by the accession number.
+returns every entry within the threshold. A second tree has the words of the names, their
+beginnings and their consonants; by it abbreviations are laid over the words of a name. A
+value is searched as it stands, without wrapping words ("deposited in the ... database"),
+inside and outside brackets, and word by word.
+
+Only distinct values are searched. A list too long for one task is searched shard by shard,
+and what fits best of all shards counts. Entries that fit alike are told apart after that,
+by the accession number, then by the host of the URL.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.normalize import canonical
 from folioforge.operators.partitioning import spread
+from folioforge.session import materialize
 
-#: Edits allowed for a spelling of n letters and digits: one for each so many, at most MOST_EDITS.
+#: The threshold of a search: one edit for each so many letters and digits, at most MOST_EDITS.
 LETTERS_PER_EDIT, MOST_EDITS = 5, 3
 #: A leading part of a name is less to go by: one edit, from so many letters on.
 LETTERS_PER_PART_EDIT = 8
 #: A list up to this size travels to every task as one tree; a longer one is searched shard by shard.
 ENTRIES_PER_SHARD = 20_000
+#: Distinct values that one task of a sharded search holds.
+VALUES_PER_BLOCK = 100_000
 
 # Words that wrap a name without naming anything.
 WRAPPERS = frozenset(
@@ -89,113 +96,139 @@ def edit_distance(a: str, b: str) -> int:
 @dataclass
 class Node:
     key: str
-    below: dict[int, Node] = field(default_factory=dict)
-    widest: int = 0
+    below: dict[int, Node | list[tuple[str, int, int]]] = field(default_factory=dict)
 
-    def __post_init__(self) -> None:
-        self.bag = letter_bag(self.key)
 
-
-def letter_bag(s: str) -> dict[str, int]:
-    bag: dict[str, int] = {}
+def marks(s: str) -> tuple[int, int]:
+    """The letters, and the pairs of neighbouring letters, as bits. An edit takes away one letter
+    and three pairs at most (a swap does), so that k edits leave at most k and 3 k bits of either
+    string without their like."""
+    letters = pairs = 0
     for c in s:
-        bag[c] = bag.get(c, 0) + 1
-    return bag
-
-
-def bag_distance(a: dict[str, int], b: dict[str, int], longer: int) -> int:
-    """A lower bound of the edit distance: letters of the longer string that the other lacks."""
-    return longer - sum(min(n, b[c]) for c, n in a.items() if c in b)
+        letters |= 1 << (ord(c) & 63)
+    for a, b in zip(s, s[1:]):
+        pairs |= 1 << ((ord(a) * 37 + ord(b)) & 511)
+    return letters, pairs
 
 
 class BKTree:
     """Strings under the edit metric: one tree for each length, as no edit distance is less
-    than the difference of the lengths."""
+    than the difference of the lengths. Few strings stay a leaf; a leaf that grows beyond LEAF
+    is split by the distances to its first string."""
+
+    LEAF = 48
 
-    def __init__(self, keys: list[str]) -> None:
-        self.roots: dict[int, Node] = {}
+    def __init__(self, keys: Iterable[str]) -> None:
+        self.roots: dict[int, Node | list[tuple[str, int, int]]] = {}
         for k in keys:
             self.add(k)
 
     def add(self, key: str) -> None:
-        node = self.roots.setdefault(len(key), Node(key))
-        while d := edit_distance(key, node.key):
-            node.widest = max(node.widest, d)
-            if d not in node.below:
-                node.below[d] = Node(key)
+        holder, at = self.roots, len(key)
+        while isinstance(node := holder.setdefault(at, []), Node):
+            at, holder = edit_distance(key, node.key), node.below
+            if at == 0:
                 return
-            node = node.below[d]
+        if any(leaf[0] == key for leaf in node):
+            return
+        node.append((key, *marks(key)))
+        if len(node) > self.LEAF:
+            split = holder[at] = Node(node[0][0])
+            for leaf in node[1:]:
+                split.below.setdefault(edit_distance(leaf[0], split.key), []).append(leaf)
 
     def within(self, query: str, most: int) -> list[tuple[int, str]]:
         """(distance, key) of every key at most `most` away."""
-        found, bag = [], letter_bag(query)
+        found, (letters, pairs) = [], marks(query)
         todo = [self.roots[n] for n in range(len(query) - most, len(query) + most + 1) if n in self.roots]
         while todo:
             node = todo.pop()
-            if bag_distance(bag, node.bag, max(len(query), len(node.key))) > most + node.widest:
-                continue  # neither the node nor, by the triangle inequality, any below it
-            d = edit_distance(query, node.key)
-            if d <= most:
-                found.append((d, node.key))
-            todo.extend(x for e, x in node.below.items() if d - most <= e <= d + most)
+            if isinstance(node, Node):
+                d = edit_distance(query, node.key)
+                if d <= most:
+                    found.append((d, node.key))
+                todo.extend(x for e, x in node.below.items() if d - most <= e <= d + most)
+                continue
+            for key, their_letters, their_pairs in node:
+                apart = max((letters & ~their_letters).bit_count(), (their_letters & ~letters).bit_count())
+                if apart <= most and (pairs & ~their_pairs).bit_count() <= 3 * most >= (their_pairs & ~pairs).bit_count():
+                    d = edit_distance(query, key)
+                    if d <= most:
+                        found.append((d, key))
         return sorted(found)
 
 
-# Kinds of spelling, the better first; a name beats a turned name beats a part of one.
-FULL, TURNED, PART = 0, 1, 2
-#: The rank of no entry.
-NO_RANK = 1 << 20
+# Kinds of spelling, the better first; a name beats a turned name beats a part of one. A code
+# is met exactly or not at all.
+FULL, TURNED, PART, CODE = 0, 1, 2, -1
+#: Ranks: an exact name, a code, a spelling (with ten for each edit), an abbreviated name; each
+#: reading that takes more away than the one before ranks a whole step behind it.
+EXACT, CODED, SPELT, ABBREVIATED, STEP = -1, 0, 1, 40, 100
+# Kinds of word forms: the word, a beginning of it, its consonants.
+WHOLE, BEGINNING, CONSONANTS = 0, 1, 2
 
 
 class Vocabulary:
-    """The words of the names of a whole list, and what a typed word can stand for among them."""
-
-    def __init__(self, listed: list[str]) -> None:
-        self.words = listed  # sorted
-        self.tree = BKTree(listed)
-        self.start_tree = BKTree(sorted({w[:k] for w in listed for k in range(3, len(w))}))
-        self.by_letter: dict[str, list[str]] = {}
-        for w in listed:
-            self.by_letter.setdefault(w[0], []).append(w)
+    """What is known of a whole list, whichever shard is searched: its words, what a typed word
+    can stand for among them, and how long a text can be and still be a name."""
+
+    def __init__(self, names: Iterable[str]) -> None:
+        self.words: set[str] = set()
+        letters = longest = 0
+        for n in names:
+            w = words(n or "")
+            self.words.update(w)
+            letters, longest = max(letters, sum(map(len, w))), max(longest, len(w))
+        self._ready(letters, longest)
+
+    @classmethod
+    def of_words(cls, listed: Iterable[str], letters: int, longest: int) -> Vocabulary:
+        v = cls(())
+        v.words = set(listed)
+        v._ready(letters, longest)
+        return v
+
+    def _ready(self, letters: int, longest: int) -> None:
+        #: No text of more words is a spelling within the threshold, nor laid over a name.
+        self.most_words = max(letters + MOST_EDITS, 2 * longest)
+        self.longest = longest
+        self.forms: dict[str, dict[str, int]] = {}
+        for w in sorted(self.words):
+            bare = w[0] + re.sub("[aeiou]", "", w[1:])
+            for kind, forms in ((CONSONANTS, (bare[:k] for k in range(3, len(bare) + 1))), (BEGINNING, (w[:k] for k in range(2, len(w)))), (WHOLE, (w,))):
+                for f in forms:
+                    kinds = self.forms.setdefault(f, {})
+                    kinds[w] = min(kind, kinds.get(w, kind))
+        self.tree = BKTree(self.forms)
         self.known: dict[str, dict[str, int]] = {}
 
     def costs(self, t: str) -> dict[str, int]:
-        """Words of the list that t can stand for, with the edits that takes."""
+        """Words of the list that t can stand for, with the edits that takes: a word with few
+        edits, or one of which t is a beginning or the consonants; if there is none, a word
+        of whose beginning t differs by one edit."""
         if t not in self.known:
-            found = {}
-            if len(t) > 1:
-                for w in self.words[bisect_left(self.words, t) :]:
-                    if not w.startswith(t):
-                        break
-                    found[w] = 0
-                if len(t) > 2 and not set(t[1:]) & set("aeiou"):
-                    found |= {w: 0 for w in self.by_letter.get(t[0], ()) if skeleton(t, w)}
-            for d, w in self.tree.within(t, 0 if len(t) < 3 else 1 if len(t) < 7 else 2):
-                if d < len(w) - 1:
-                    found[w] = min(d, found.get(w, d))
-            if not found and len(t) > 3:
-                for d, start in self.start_tree.within(t, 1):
-                    for w in self.words[bisect_left(self.words, start) :]:
-                        if not w.startswith(start):
-                            break
-                        found[w] = d
+            found, near = {}, {}
+            for d, form in self.tree.within(t, 0 if len(t) < 3 else 1 if len(t) < 7 else 2):
+                for w, kind in self.forms[form].items():
+                    if d == 0 and (kind == WHOLE or len(t) > 1) or kind == WHOLE and d < len(w) - 1:
+                        found[w] = min(d, found.get(w, d))
+                    elif kind == BEGINNING and d == 1 and len(t) > 2 < len(form) and max(len(t), len(form)) > 3:
+                        near[w] = 1
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[t] = found
+            self.known[t] = found or near
         return self.known[t]
 
 
 class Matcher:
-    """The tree of one list (or shard of it) and what decides between entries."""
+    """The tree of one list (or shard of it)."""
 
     def __init__(self, entries: list[tuple], vocabulary: Vocabulary | None = None) -> None:
         """entries: (registry_id, name, url_pattern, identifiers_pattern, local_pattern, sample_id);
         vocabulary: that of the whole list, if the entries are a shard of it."""
         self.spelt: dict[str, dict[int, int]] = {}
-        self.codes: dict[str, set[int]] = {}
         self.names: dict[int, list[str]] = {}
-        self.accession: dict[int, re.Pattern | None] = {}
-        self.host: dict[int, str] = {}
+        self.tells: dict[int, tuple[str, str]] = {}
         self.by_word: dict[str, set[int]] = {}
         for rid, name, url, ids, local, sample in entries:
             w = words(name or "")
@@ -204,82 +237,72 @@ class Matcher:
             self.names[rid] = w
             for x in w:
                 self.by_word.setdefault(x, set()).add(rid)
-            self._spell("".join(w), rid, FULL)
-            for k in range(1, len(w)):
-                self._spell("".join(w[k:] + w[:k]), rid, TURNED)
             for k in range(1, len(w)):
                 self._spell("".join(w[:k]), rid, PART)
-                if len(w[:k]) > 1:
-                    self.codes.setdefault("".join(x[0] for x in w[:k]), set()).add(rid)
-            self.codes.setdefault("".join(x[0] for x in w), set()).add(rid)
+                if k > 1:
+                    self._spell("".join(x[0] for x in w[:k]), rid, CODE)
+                self._spell("".join(w[k:] + w[:k]), rid, TURNED)
+            self._spell("".join(w), rid, FULL)
+            self._spell("".join(x[0] for x in w), rid, CODE)
             host = re.match(r"\w+://([^/]+)", url or "")
-            self.host[rid] = host[1].lower() if host else ""
             if host:
-                self.codes.setdefault(squeeze(host[1]), set()).add(rid)
-                self.codes.setdefault(squeeze(host[1].split(".")[0]), set()).add(rid)
+                self._spell(squeeze(host[1]), rid, CODE)
+                self._spell(squeeze(host[1].split(".")[0]), rid, CODE)
             if ids:
-                self.codes.setdefault(squeeze(re.sub(r"^\w+://", "", ids)), set()).add(rid)
+                self._spell(squeeze(re.sub(r"^\w+://", "", ids)), rid, CODE)
             if code := re.match(r"[A-Za-z]+", sample or ""):
-                self.codes.setdefault(code[0].casefold(), set()).add(rid)
-            try:
-                self.accession[rid] = re.compile(local) if local else None
-            except re.error:
-                self.accession[rid] = None
+                self._spell(code[0].casefold(), rid, CODE)
+            self.tells[rid] = (local or "", host[1].lower() if host else "")
         self.tree = BKTree(sorted(self.spelt))
-        self.vocabulary = vocabulary or Vocabulary(sorted(self.by_word))
-        self.fits: dict[str, dict[int, int]] = {}
+        self.vocabulary = vocabulary or Vocabulary(e[1] for e in entries)
+        self.keyed: dict[str, dict[int, int]] = {}
 
     def _spell(self, key: str, rid: int, kind: int) -> None:
-        kinds = self.spelt.setdefault(key, {})
-        kinds[rid] = min(kind, kinds.get(rid, PART))
-
-    def search(self, value: str, accession: str | None, url: str | None = None) -> tuple[int, int]:
-        """(rank, registry_id) of the best entry, the smaller rank the better; id 0 when none fits."""
-        rank, *groups = self.best(value, accession, url)
-        n, rid = next((g for g in groups if g[0]), (0, 0))
-        return (rank, rid if n == 1 else 0)
-
-    def best(self, value: str, accession: str | None, url: str | None = None) -> tuple[int, tuple[int, int], tuple[int, int], tuple[int, int]]:
-        """The best rank and, as (number, least id), its entries of which the accession number
-        tells, those of which the host of the URL tells, and all: the first of these groups that
-        is not empty decides, and it decides for an entry only if it has but one. Numbers of
-        shards with the same best rank add up to those of the whole list."""
-        if value not in self.fits:
-            if len(self.fits) > 100_000:
-                self.fits.clear()
-            self.fits[value] = self._fits(value)
-        fits = self.fits[value]
-        if not fits:
-            return (NO_RANK, (0, 0), (0, 0), (0, 0))
-        best = min(fits.values())
-        alike = [r for r, s in fits.items() if s == best]
-        typed = [r for r in alike if accession and (p := self.accession[r]) and p.fullmatch(accession.strip())]
-        hosted = [r for r in alike if url and self.host[r] and self.host[r] in url.lower()]
-        return (best, *((len(g), min(g, default=0)) for g in (typed, hosted, alike)))
-
-    def _fits(self, value: str) -> dict[int, int]:
-        """Rank of every entry that the value can mean, by the first reading that means any."""
-        for penalty, text in enumerate(dict.fromkeys(readings(value))):
-            key = squeeze(text)
-            if not key:
-                continue
-            found: dict[int, int] = {}
-            for r in self.codes.get(key, ()):
-                found[r] = 0
-            for d, spelling in self.tree.within(key, edits_allowed(len(key))):
-                for r, kind in self.spelt[spelling].items():
-                    if kind == PART and d > min(1, len(spelling) // LETTERS_PER_PART_EDIT):
-                        continue
-                    found[r] = min(found.get(r, 1 << 10), 1 + 10 * d + kind)
-            for r in self._abbreviated(words(text)):
-                found[r] = min(found.get(r, 1 << 10), 40)
+        if key:
+            kinds = self.spelt.setdefault(key, {})
+            kinds[rid] = kinds.get(rid, 0) | 1 << (kind + 1)
+
+    def best(self, value: str) -> tuple[int, list[int]]:
+        """The best rank and all entries that have it; none if the value means no entry."""
+        for n, text in enumerate(dict.fromkeys(readings(value, self.vocabulary.most_words))):
+            found = self._spellings(squeeze(text)) or dict.fromkeys(self._abbreviated(words(text)), ABBREVIATED)
             if found:
-                return {r: s + 100 * penalty for r, s in found.items()}
-        return {}
+                best = min(found.values())
+                return STEP * n + best, sorted(r for r, s in found.items() if s == best)
+        return 0, []
+
+    def search(self, value: str, accession: str | None = None, url: str | None = None) -> int:
+        """The entry that a value means, 0 for none or for several alike that nothing tells apart."""
+        alike = self.best(value)[1]
+        typed = [r for r in alike if has_form(accession, self.tells[r][0])]
+        hosted = [r for r in alike if url and self.tells[r][1] and self.tells[r][1] in url.lower()]
+        first = next((g for g in (typed, hosted, alike) if g), [])
+        return first[0] if len(first) == 1 else 0
+
+    def _spellings(self, key: str) -> dict[int, int]:
+        """Entries that have a spelling near the key, by rank. No near one ranks before one that
+        is the key itself, so that is looked for first."""
+        if key not in self.keyed:
+            found: dict[int, int] = {}
+            for most in dict.fromkeys((0, edits_allowed(len(key)))) if key else ():
+                for d, spelling in self.tree.within(key, most):
+                    for r, kinds in self.spelt[spelling].items():
+                        for kind in (CODE, FULL, TURNED, PART):
+                            if not kinds >> (kind + 1) & 1 or kind == CODE and d or kind == PART and d > min(1, len(spelling) // LETTERS_PER_PART_EDIT):
+                                continue
+                            rank = CODED if kind == CODE else SPELT + 10 * d + kind
+                            found[r] = min(found.get(r, rank), rank)
+                if found:
+                    break
+            if len(self.keyed) > 100_000:
+                self.keyed.clear()
+            self.keyed[key] = found
+        return self.keyed[key]
 
     def _abbreviated(self, typed: list[str]) -> set[int]:
-        """Entries whose words are typed in order, each whole, shortened or with few edits."""
-        if not 2 <= len(typed) <= 12:
+        """Entries whose words are typed in order, each whole, shortened or with few edits. A
+        typed word is laid over two words of a name at most, so a longer text is over none."""
+        if not 2 <= len(typed) <= 2 * self.vocabulary.longest:
             return set()
         costs = [self.vocabulary.costs(t) for t in typed]
         glued = [self.vocabulary.costs(a + b) for a, b in zip(typed, typed[1:])]
@@ -290,13 +313,14 @@ class Matcher:
 
     def _split_costs(self, t: str) -> list[tuple[str, str]]:
         """Pairs of words of the list that t writes as one."""
-        return [(t[:k], t[k:]) for k in range(2, len(t) - 1) if t[:k] in self.by_word and t[k:] in self.by_word]
+        known = self.vocabulary.words
+        return [(t[:k], t[k:]) for k in range(2, len(t) - 1) if t[:k] in known and t[k:] in known]
 
     @staticmethod
-    def _aligned(name: list[str], costs: list[dict], glued: list[dict], split: list[list]) -> int:
+    def _aligned(name: list[str], costs: list[dict], glued: list[dict], split: list[list]) -> float:
         """Fewest edits that lay all typed words over the leading two or more words of a name;
         words of the name left over cost nothing, so all entries that share the part fit alike."""
-        n, far = len(costs), 99
+        n, far = len(costs), float("inf")
         best = [[far] * (len(name) + 1) for _ in range(n + 1)]
         best[0][0] = 0
         for i in range(n):
@@ -313,14 +337,21 @@ class Matcher:
         return min(best[n][2:], default=far)
 
 
-def skeleton(short: str, word: str) -> bool:
-    """Whether short is the first letter of a word and later letters of it in order."""
-    rest = iter(word[1:])
-    return short[0] == word[0] and len(short) < len(word) and all(c in rest for c in short[1:])
+@lru_cache(maxsize=100_000)
+def _pattern(local: str) -> re.Pattern | None:
+    try:
+        return re.compile(local)
+    except re.error:
+        return None
+
+
+def has_form(accession: str | None, local: str | None) -> bool:
+    return bool(accession and local and (p := _pattern(local)) and p.fullmatch(accession.strip()))
 
 
-def readings(value: str) -> Iterator[str]:
-    """The value as typed, then with less and less around the name."""
+def readings(value: str, most_words: int) -> Iterator[str]:
+    """The value as typed, then with less and less around the name. Of readings without
+    wrapping words only those of at most so many words are given: longer ones are no name."""
     text = canonical(value).strip()
     yield text
     bare = re.sub(r"^\w+://", "", text).strip("/: ")
@@ -328,22 +359,22 @@ def readings(value: str) -> Iterator[str]:
         yield bare
     if m := re.fullmatch(r"([\w.-]+):\s*\S+|(.+?)\s*(?:/\s*[\w.-]+|\b(?:no|nr|number)\b\.?\s*\w+)", bare):
         yield m[1] or m[2]
-        yield from _unwrapped(m[1] or m[2])
+        yield from _unwrapped(m[1] or m[2], most_words)
     if m := re.fullmatch(r"([^()\[\]]*)[(\[]([^()\[\]]*)[)\]]?\W*", text):
         outside, inside = m[1].strip(), m[2].strip()
         for part in (outside, inside):
             if part:
                 yield part
-                yield from _unwrapped(part)
+                yield from _unwrapped(part, most_words)
         return
     head = re.split(r"\s+[-–—]\s+|[,;:]\s+(?=\w*\d|release|version|v\b)", text, maxsplit=1)[0].strip()
     if head != text:
         yield head
-        yield from _unwrapped(head)
-    yield from _unwrapped(text)
+        yield from _unwrapped(head, most_words)
+    yield from _unwrapped(text, most_words)
 
 
-def _unwrapped(text: str) -> Iterator[str]:
+def _unwrapped(text: str, most_words: int) -> Iterator[str]:
     """Wrapping words taken off, first one end at a time, then both."""
     w = words(text)
     left = 0
@@ -352,97 +383,109 @@ def _unwrapped(text: str) -> Iterator[str]:
     right = len(w)
     while right > left and (w[right - 1] in WRAPPERS or w[right - 1].isdigit()):
         right -= 1
-    # long runs of wrapping words are taken off whole
-    starts = range(left + 1) if left < 8 else (0, left)
-    ends = range(len(w), right - 1, -1) if len(w) - right < 8 else (len(w), right)
-    for i in starts:
-        for j in ends:
+    for i in range(max(0, right - most_words), left + 1):
+        for j in range(min(len(w), i + most_words), right - 1, -1):
             if (i, j) != (0, len(w)) and i < j:
                 yield " ".join(w[i:j])
 
 
 ENTRY_FIELDS = ("registry_id", "name", "url_pattern", "identifiers_pattern", "local_unique_identifier_pattern", "sample_id")
+CANDIDATES = "value string, rank int, registry_id bigint, local string, host string"
 
 
 def match_names(df: DataFrame, entries: DataFrame, id_col: str = "data_source_id", value: str = "database", accession: str = "accession_number", url: str = "url", entries_per_shard: int = ENTRIES_PER_SHARD) -> DataFrame:
     """(id, value, registry_id, exact): every row whose value is neither null nor blank.
 
-    exact says that the value is an entry's name character for character; registry_id is 0
-    when the value means no entry, or several alike that neither accession number nor URL
-    tells apart. Repeated rows get the same answer; an empty list answers 0 for every value.
-    The list is counted first: one shard is searched in every task, several shards each by
-    their own pass; what fits alike in several shards is told apart after they are merged.
+    exact says that the value is an entry's name character for character (of several entries of
+    one name the least id); registry_id is 0 when the value means no entry, or several alike
+    that neither accession number nor URL tells apart. Repeated rows get the same answer; an
+    empty list answers 0 for every value.
+
+    Each distinct value is searched once, in every shard of the list; the answer is the same
+    whatever the number of shards.
     """
     rows = df.where(F.col(value).isNotNull() & (F.length(F.trim(F.regexp_replace(value, r"(?U)\s+", " "))) > 0))
     rows = rows.select(F.col(id_col).alias("id"), F.col(value).alias("value"), F.col(accession).alias("acc"), F.col(url).alias("url"))
     fields = entries.select(*ENTRY_FIELDS).where("name IS NOT NULL AND registry_id IS NOT NULL")
     shards = max(1, -(-fields.count() // entries_per_shard))
+    asked = rows.select("value").distinct()
     if shards == 1:
-        listed = [tuple(r) for r in fields.collect()]
-        found = spread(rows).mapInPandas(lambda it: _search(it, listed), "id bigint, value string, rank int, registry_id bigint, exact boolean")
+        listed = [tuple(r) for r in fields.collect()]  # no more than entries_per_shard
+        found = materialize(spread(asked).mapInPandas(_search(listed), CANDIDATES))
     else:
-        found = _sharded(rows, fields, shards)
-    return found.select(F.col("id").alias(id_col), F.col("value").alias(value), "registry_id", "exact")
+        found = materialize(_sharded(asked, fields, shards))
+    per = found.groupBy("value").agg(F.min("rank").alias("rank"))
+    best = found.join(per, ["value", "rank"])
+    per = best.groupBy("value").agg(F.first("rank").alias("rank"), F.count("*").alias("n"), F.min("registry_id").alias("one"))
+    # Few values fit several entries alike; only their rows meet candidates.
+    tied = best.join(per.where("n > 1 AND rank >= 0").select("value"), "value").select("value", "registry_id", "local", "host")
+    cases = rows.select("value", "acc", "url").join(tied.select("value").distinct(), "value", "left_semi").distinct()
+    fits = cases.join(tied, "value").select("value", "acc", "url", "registry_id", _has_form(F.col("acc"), F.col("local")).alias("typed"), ((F.col("host") != "") & F.contains(F.lower("url"), "host")).alias("hosted"))
+    of = lambda flag: (F.count(F.when(F.col(flag), 1)).alias(f"n_{flag}"), F.min(F.when(F.col(flag), F.col("registry_id"))).alias(flag))
+    told = fits.groupBy("value", "acc", "url").agg(*of("typed"), *of("hosted"))
+    means = F.when(F.col("n_typed") == 1, F.col("typed")).when((F.col("n_typed") == 0) & (F.col("n_hosted") == 1), F.col("hosted"))
+    told = told.select(*[F.col(c).alias(f"__{c}") for c in ("value", "acc", "url")], means.alias("told"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("value", "acc", "url")))
+    answered = rows.join(per, "value", "left").join(told, same, "left")
+    only = F.when((F.col("n") == 1) | (F.col("rank") < 0), F.col("one"))
+    return answered.select(F.col("id").alias(id_col), F.col("value").alias(value), F.coalesce(only, "told", F.lit(0)).cast("bigint").alias("registry_id"), F.coalesce(F.col("rank") < 0, F.lit(False)).alias("exact"))
 
 
-def _search(batches: Iterator[pd.DataFrame], listed: list[tuple]) -> Iterator[pd.DataFrame]:
-    matcher = Matcher(listed)
-    exact = {}
-    for r in sorted(listed, reverse=True):
-        exact[r[1]] = r[0]
-    for b in batches:
-        out = []
-        for i, v, a, u in zip(b["id"], b["value"], b["acc"], b["url"]):
-            if v in exact:
-                out.append((i, v, -1, exact[v], True))
-                continue
-            out.append((i, v, *matcher.search(v, a, u), False))
-        yield pd.DataFrame(out, columns=["id", "value", "rank", "registry_id", "exact"])
+def _search(listed: list[tuple]):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = Matcher(listed)
+        for b in batches:
+            yield _candidates(matcher, listed, b["value"])
 
+    return search
 
-GROUPS = ("typed", "hosted", "alike")
-SHARD_BEST = "value string, acc string, url string, rank int, " + ", ".join(f"{g}_n bigint, {g}_id bigint" for g in GROUPS)
 
+def _has_form(accession: Column, local: Column) -> Column:
+    @F.pandas_udf("boolean")
+    def form(acc: pd.Series, local: pd.Series) -> pd.Series:
+        return pd.Series([has_form(a, p) for a, p in zip(acc, local)], dtype=bool)
 
-@lru_cache(maxsize=1)
-def _vocabulary(listed: tuple[str, ...]) -> Vocabulary:
-    return Vocabulary(list(listed))
+    return form(accession, local)
 
 
-def _sharded(rows: DataFrame, fields: DataFrame, shards: int) -> DataFrame:
-    """Each distinct case meets each shard of the list. A shard gives how many of its entries
-    have its best rank; those of the best rank of all are added up and decide as in one list.
-    The distinct words of the names travel to every task, the entries do not."""
-    tagged = fields.withColumn("shard", F.pmod(F.xxhash64("registry_id"), F.lit(shards)))
-    cases = rows.select("value", "acc", "url").distinct()
-    asked = cases.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))))
+def _candidates(matcher: Matcher, listed: list[tuple], values: Iterable[str]) -> pd.DataFrame:
+    """The entries of the best rank of each value; a value that means none has no row."""
+    exact, out = {}, []
+    for r in sorted(listed, reverse=True):
+        exact[r[1]] = r[0]
+    for v in values:
+        rank, alike = (EXACT, [exact[v]]) if v in exact else matcher.best(v)
+        out.extend((v, rank, r, *matcher.tells.get(r, ("", ""))) for r in alike)
+    return pd.DataFrame(out, columns=[c.split()[0] for c in CANDIDATES.split(", ")])
 
+
+@lru_cache(maxsize=1)
+def _vocabulary(listed: tuple[str, ...], letters: int, longest: int) -> Vocabulary:
+    return Vocabulary.of_words(listed, letters, longest)
+
+
+def _sharded(asked: DataFrame, fields: DataFrame, shards: int) -> DataFrame:
+    """Each distinct value meets each shard of the list, in as few tasks a shard as keep all
+    cores at work and no block of values too large. The distinct words of the names travel to
+    every task, the entries do not."""
     def name_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"word": sorted({w for n in b["name"] for w in words(n)})}, dtype=object)
+            each = [words(n) for n in b["name"]]
+            size = pd.DataFrame({"word": [""], "letters": [max((sum(map(len, w)) for w in each), default=0)], "longest": [max(map(len, each), default=0)]})
+            yield pd.concat([size, pd.DataFrame({"word": sorted({x for w in each for x in w}), "letters": 0, "longest": 0})])
 
-    listed_words = tuple(sorted(r[0] for r in fields.select("name").mapInPandas(name_words, "word string").distinct().collect()))
+    known = fields.select("name").mapInPandas(name_words, "word string, letters int, longest int").groupBy("word").agg(F.max("letters").alias("letters"), F.max("longest").alias("longest")).collect()
+    listed_words = tuple(sorted(r[0] for r in known if r[0]))
+    letters, longest = max((r[1] for r in known), default=0), max((r[2] for r in known), default=0)
 
-    def whole(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         listed = list(right[list(ENTRY_FIELDS)].itertuples(index=False, name=None))
-        matcher, exact, out = Matcher(listed, _vocabulary(listed_words)), {}, []
-        for r in listed:
-            exact[r[1]] = min(r[0], exact.get(r[1], r[0]))
-        for v, a, u in zip(left["value"], left["acc"], left["url"]):
-            rank, *groups = (-1, (0, 0), (0, 0), (1, exact[v])) if v in exact else matcher.best(v, a, u)
-            out.append((v, a, u, rank, *(x for g in groups for x in g)))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in SHARD_BEST.split(", ")])
-
-    # A shard is searched by many tasks, each over its own block of rows.
-    blocks = max(1, rows.rdd.getNumPartitions())
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("value", "acc", "url"), F.lit(blocks)))
-    tagged = tagged.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    found = asked.groupBy("shard", "block").cogroup(tagged.groupBy("shard", "block")).applyInPandas(whole, SHARD_BEST)
-    ranked = found.groupBy("value", "acc", "url", "rank").agg(*[F.sum(f"{g}_n").alias(f"{g}_n") for g in GROUPS], *[F.min(F.when(F.col(f"{g}_n") > 0, F.col(f"{g}_id"))).alias(f"{g}_id") for g in GROUPS])
-    best = ranked.groupBy("value", "acc", "url").agg(F.min_by(F.struct(*ranked.columns), "rank").alias("b")).select("b.*")
-    # Several entries of exactly this name: the least id, as in one list.
-    only = lambda g: F.when(F.col(f"{g}_n") == 1, F.col(f"{g}_id")).otherwise(F.lit(0))
-    means = F.when(F.col("rank") < 0, F.col("alike_id")).when(F.col("typed_n") > 0, only("typed")).when(F.col("hosted_n") > 0, only("hosted")).otherwise(only("alike"))
-    decided = best.select(*[F.col(c).alias(f"__{c}") for c in ("value", "acc", "url")], "rank", means.cast("bigint").alias("registry_id"), (F.col("rank") < 0).alias("exact"))
-    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("value", "acc", "url")))
-    return rows.join(decided, same).select("id", "value", "rank", "registry_id", "exact")
+        return _candidates(Matcher(listed, _vocabulary(listed_words, letters, longest)), listed, left["value"])
+
+    asked = materialize(asked)
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    blocks = max(-(-cores // shards), -(-asked.count() // VALUES_PER_BLOCK))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    tagged = fields.withColumn("shard", F.pmod(F.xxhash64("registry_id"), F.lit(shards))).withColumn("block", upto(blocks))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("value"), F.lit(blocks))).withColumn("shard", upto(shards))
+    return asked.groupBy("shard", "block").cogroup(tagged.groupBy("shard", "block")).applyInPandas(search, CANDIDATES)
