@@ -16,7 +16,7 @@ def frame(spark, payloads):
 
 
 def found(spark, *payloads):
-    got = nested.bridge(frame(spark, payloads)).collect()
+    got = nested.bridge(frame(spark, payloads), only=nested.CHILDREN).collect()
     return sorted((r.record_id, r.child, r.figure_no, r.panel_no, r.item_no) for r in got)
 
 
@@ -53,20 +53,47 @@ def test_complete_boxes(value):
 
 def test_repeats_count_each_but_are_stored_once(spark):
     text = json.dumps({"figures": [{"panels": [PANEL, PANEL]}, {"panels": [PANEL]}]})
-    df = frame(spark, [text] * 3)
-    panels = [r for r in nested.bridge(df).collect() if r.child == "panel"]
+    parts = nested.decompose(frame(spark, [text] * 3)).cache()
+    rows = parts.collect()
+    panels = [r for r in rows if r.child == "panel"]
     assert len(panels) == 9 and len({r.node_id for r in panels}) == 1
-    store = {r.node_id: r for r in nested.objects(df).collect()}
-    assert len([r for r in store.values() if r.kind == "panel"]) == 1
-    assert {r.parent_id for r in panels} <= set(store)
+    store = {r.node_id: r.body for r in nested.store(parts).collect()}
+    assert {r.node_id for r in rows} == set(store)
+    assert {r.parent_id for r in rows} <= set(store) | {None}
+    assert sum('"panel_bbox":[0.1,0.2,0.3,0.4]' in b for b in store.values()) == 1
+    assert [r.ordinal for r in rows if r.child == "panel_file"] == [1, 3] * 9
+
+
+def test_objects_at_any_depth_keep_their_parent_field_and_place(spark):
+    doc = {"figures": [{"panels": [3, {"other": {"deep": [[{"x": 1}], {"x": 2}]}}], "panel": {}}], "note": [None, {"a": []}]}
+    rows = nested.decompose(frame(spark, [json.dumps(doc)])).collect()
+    body = {r.node_id: r.body for r in rows if r.body}
+    assert sorted((r.child, r.field, r.ordinal, body[r.node_id]) for r in rows if r.child == "object" and "@" not in body[r.node_id]) == [
+        ("object", "deep", 1, '{"x":1}'), ("object", "deep", 2, '{"x":2}'), ("object", "note", 2, '{"a":[]}'), ("object", "panel", 1, "{}"),
+    ]
+    assert [(r.figure_no, r.panel_no) for r in rows if r.field == "other"] == [(1, 2)]
+    assert {r.parent_id for r in rows} <= {r.node_id for r in rows} | {None}
 
 
 def test_fields_of_flat_rows(spark):
-    got = [r for r in nested.flat(frame(spark, [json.dumps({"figures": [{"figure_label": "F1", "caption_title": "T", "panels": [PANEL]}]})])).collect()]
-    by = {r.child: r for r in got}
-    assert by["figure"].label == "F1" and by["figure"].title == "T" and by["panel"].label == "A"
-    assert (by["panel_bbox"].x1, by["panel_bbox"].y2) == (0.1, 0.4)
-    assert sorted(r.file for r in got if r.file) == ["a.csv", "b.csv"]
+    odd = {**PANEL, "panel_bbox": "(1; 2; 3;4)", "confidence": "0.5", "hallucination_score": True, "sd_files": ['a"b\\c.csv']}
+    df = frame(spark, [json.dumps({"figures": [{"figure_label": "F1", "caption_title": "T", "panels": [PANEL, odd, {"panel_bbox": {"x1": 1, "y1": "2", "x2": 3, "y2": 4.5}}]}]})])
+    xy = nested.flat(df, "panel_bbox").select("panel_no", *nested.coordinates()).orderBy("panel_no").collect()
+    assert [tuple(r) for r in xy] == [(1, 0.1, 0.2, 0.3, 0.4), (2, 1, 2, 3, 4), (3, 1, 2, 3, 4.5)]
+    panels = nested.flat(df, "panel").select("panel_no", nested.number_of(nested.text_field("confidence")), nested.number_of(nested.text_field("hallucination_score"))).orderBy("panel_no").collect()
+    assert [tuple(r) for r in panels] == [(1, None, None), (2, 0.5, None), (3, None, None)]
+    assert nested.flat(df, "figure").select(nested.text_field("caption_title")).first()[0] == "T"
+    assert nested.flat(df.limit(0), "figure").count() == 0
+
+
+def test_every_valid_payload_can_be_put_together_again(spark):
+    from folioforge.sources.tables import table
+
+    odd = ["3", '"x"', "null", "[[{}], 2]", '{"a": "\\ud800", "\\udc00": [1.0, 1e3, -0]}', '{"a": {"b": {"a": {"b": {}}}}}', "1" * 5000, "[" + "1" * 5000 + "]"]
+    df = table(spark, "/root/testdata/sf0.001", "manuscript_records").select("record_id", "payload").unionByName(frame(spark, odd).selectExpr("record_id + 1000000 AS record_id", "payload"))
+    want = {r.record_id: json.dumps(v, sort_keys=True) for r in df.collect() if (v := nested.parse(r.payload)) is not None or r.payload == "null"}
+    got = {r.record_id: json.dumps(json.loads(r.payload), sort_keys=True) for r in nested.restore(nested.decompose(df).cache()).collect()}
+    assert len(want) > 20 and got == want
 
 
 JSON = st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.text(max_size=3), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(max_size=2), x, max_size=3), max_leaves=12)
@@ -75,16 +102,15 @@ JSON = st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.text(max
 @given(JSON, JSON)
 def test_identity_is_equality(a, b):
     same = json.dumps(a, sort_keys=True) == json.dumps(b, sort_keys=True)
-    assert (nested.Merkle().identity(a) == nested.Merkle().identity(b)) == same
+    assert (nested.Merkle(a).root == nested.Merkle(b).root) == same
 
 
 @given(JSON)
 def test_objects_can_be_put_together_again(value):
-    m = nested.Merkle()
-    root = m.identity([value])
-    bodies = {k: v for k, (_, v) in m.store.items()}
-    assert root and all(body.startswith("{") for body in bodies.values())
-    assert nested.Merkle().identity([json.loads(json.dumps(value))]) == root
+    m = nested.Merkle(value)
+    assert json.dumps(nested.rebuild(m.root, m.store), sort_keys=True) == json.dumps(value, sort_keys=True)
+    rows = list(nested.occurrences(1, value, m))
+    assert {r[8] for r in rows} <= {r[7] for r in rows} | {None} and {r[7] for r in rows} == set(m.store)
 
 
 @pytest.mark.parametrize(("opening", "closing"), [('{"a":', "}"), ("[", "]"), ('[{"a":', "}]")])
@@ -92,4 +118,4 @@ def test_a_deep_field_drops_no_record(opening, closing):
     depth = 800 // len(closing)
     payload = '{"figures": [{"panels": [{}]}], "other": ' + opening * depth + "1" + closing * depth + "}"
     batch = pa.RecordBatch.from_pydict({"id": [1], "payload": [payload]})
-    assert sum(b.num_rows for b in nested._walk(iter([batch]), "bridge")) == 2
+    assert sum(b.num_rows for b in nested._walk(iter([batch]), nested.CHILDREN, False)) == 2
