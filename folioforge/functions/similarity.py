@@ -95,10 +95,30 @@ def rouge_l(a: Column, b: Column) -> Column:
     return score(a, b)
 
 
+def _shared_as_it_grows(a: str, b: str) -> list[int]:
+    """Length of the longest common subsequence of a with each beginning of b."""
+    places, full = _places(a), (1 << len(a)) - 1
+    rest, out = full, []
+    for x in b:
+        u = rest & places.get(x, 0)
+        rest = ((rest + u) | (rest - u)) & full
+        out.append(len(a) - rest.bit_count())
+    return out
+
+
+def _at_either_end(short: str, long: str) -> float:
+    """Best likeness with a stretch at an end of the longer text that is shorter than the other."""
+    n = len(short)
+    ends = (_shared_as_it_grows(short, long[: n - 1]), _shared_as_it_grows(short[::-1], long[: len(long) - n : -1] if n > 1 else ""))
+    return max((2 * k / (n + m) for shared in ends for m, k in enumerate(shared, 1)), default=0.0)
+
+
 def partial_ratio(short: str, long: str) -> float:
-    """Best likeness, 0 to 100, of the shorter text with an equally long stretch of the longer:
-    characters of a longest common subsequence over the length. Two stretches k places apart
-    differ by at most k, so most places are skipped and the result is still the best of all."""
+    """Best likeness, 0 to 100, of the shorter text with a stretch of the longer: twice the
+    longest common subsequence over both lengths. Stretches are as long as the shorter text,
+    or shorter at either end. Two stretches k places apart differ by at most k, so most places
+    are skipped and the result is still the best of all. Of two equally long texts each is
+    taken for the shorter."""
     if len(short) > len(long):
         short, long = long, short
     n = len(short)
@@ -111,7 +131,8 @@ def partial_ratio(short: str, long: str) -> float:
         here = common_subsequence(short, long[at : at + n], places)
         best = max(best, here)
         at += best - here + 1
-    return 100 * best / n
+    ends = [_at_either_end(short, long)] + ([_at_either_end(long, short)] if len(long) == n else [])
+    return 100 * max(best / n, *ends)
 
 
 def invention_score(extracted: Column, source: Column) -> Column:

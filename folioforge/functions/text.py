@@ -5,35 +5,79 @@ Null in, null out; an empty text stays empty.
 
 from __future__ import annotations
 
+import html
+import re
+import string
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The entities of XML and the no-break space.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 # Marks of expanded-view figures.
 EXPANDED_VIEW = r"(?i)ev|extended view|expanded view|extended data"
 # Names that archives hold beside the data.
 SYSTEM_FILES = ("Thumbs.db", "desktop.ini", ".DS_Store")
 
 
+# What is no text in HTML: comments, scripts and styles with all they hold, and tags. Both
+# regular-expression engines, the JVM's and Python's, read these alike. A less-than sign before
+# anything but a letter or slash is text.
+HIDDEN = r"<!--[\s\S]*?-->|<script[\s\S]*?</script>|<style[\s\S]*?</style>|</?[A-Za-z][^>]*>"
+#: Control and format characters but line breaks.
+CONTROL = r"[\p{Cc}\p{Cf}&&[^\n\r]]"
+SPACE = r"(?U)\s"
+_hidden = re.compile(HIDDEN)
+
+
+def _where(text: Column, condition: Column, change: Callable[[str], str], otherwise: Column) -> Column:
+    """`change` in Python for texts that meet the condition, in Arrow batches that hold only
+    those; the JVM's expression for all others."""
+
+    @F.pandas_udf("string")
+    def changed(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else change(x))
+
+    return F.when(condition, changed(F.when(condition, text))).otherwise(otherwise)
+
+
+def _visible(s: str, gap: str) -> str:
+    """What strip_tags gives, with entities resolved."""
+    parts = [html.unescape(x) for x in _hidden.split(s)]
+    return gap.join(x for x in map(str.strip, parts) if x) if gap else "".join(parts)
+
+
+def _visible_if_tagged(s: str) -> str:
+    return _visible(s, " ") if "<" in s and ">" in s else s
+
+
 def strip_tags(text: Column, gap: str = " ") -> Column:
-    """Text without comments, scripts, styles and tags. A less-than sign before anything but a
-    letter or slash is text. With a gap, whitespace is collapsed and the ends are trimmed."""
-    s = F.regexp_replace(text, r"(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>", gap)
-    s = F.regexp_replace(s, r"</?[A-Za-z][^>]*>", gap)
-    return collapse(s) if gap else s
+    """Text without comments, scripts, styles and tags, entities resolved.
+
+    With a gap, the stretches of text are trimmed and joined by it, and a text without any
+    angle brackets is left as it is; without one, the stretches are joined as they stand.
+    """
+    tagged = text.contains("<") & text.contains(">")
+    parts = F.split(text, HIDDEN)
+    if gap:
+        plain = F.when(tagged, F.array_join(F.filter(F.transform(parts, _trim), lambda x: x != ""), gap)).otherwise(text)
+        return _where(text, tagged & text.contains("&"), lambda s: _visible(s, gap), plain)
+    return _where(text, text.contains("&"), lambda s: _visible(s, ""), F.array_join(parts, ""))
+
+
+def _trim(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def collapse(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
 
 
 def unescape(text: Column) -> Column:
-    return reduce(lambda s, e: F.replace(s, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    """All entities of HTML, named and numbered."""
+    return _where(text, text.contains("&"), html.unescape, text)
 
 
 def drop_empty_items(text: Column) -> Column:
@@ -41,27 +85,51 @@ def drop_empty_items(text: Column) -> Column:
     return F.regexp_replace(text, "(?i)<li>(?:\\s|&nbsp;|\u00a0|<br\\s*/?>)*</li>", "")
 
 
+def normalize(text: Column, control: bool = True, lower: bool = True, markup: bool = True, punctuation: bool = False, keep: str = "", ascii_only: bool = False) -> Column:
+    """A text for comparison, step by step: control and format characters away, lower case,
+    entities resolved and tags to blanks, punctuation (but the signs to keep) to blanks, other
+    than ASCII characters decomposed or dropped; whitespace always collapsed."""
+    s = F.regexp_replace(text, CONTROL, "") if control else text
+    s = F.lower(_trim(s)) if lower else _trim(s)
+    if markup:
+        # an entity may resolve to a tag, so both steps are taken in one place
+        s = _where(s, s.contains("&"), lambda x: _visible_if_tagged(html.unescape(x)), strip_tags(F.when(~s.contains("&"), s)))
+    if punctuation:
+        signs = "".join(c for c in string.punctuation if c not in keep)
+        s = F.regexp_replace(s, "[" + "".join("\\" + c for c in signs) + "]", " ") if signs else s
+    return collapse(ascii_fold(s) if ascii_only else s)
+
+
 def normalize_basic(text: Column) -> Column:
     """Control characters away, lower case, entities resolved, tags to blanks, whitespace collapsed."""
-    s = F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "")
-    return strip_tags(unescape(F.lower(F.trim(s))))
+    return normalize(text)
+
+
+def decomposed(s: str) -> str:
+    return unicodedata.normalize("NFKD", html.unescape(_visible(s, "")).lower())
 
 
 def normalize_verbatim(text: Column) -> Column:
-    """Tags away without a gap, entities resolved, lower case, only letters, digits and blanks."""
-    s = F.lower(unescape(strip_tags(text, "")))
-    return collapse(F.regexp_replace(s, r"[^\p{L}\p{N}\s]", ""))
+    """Tags away without a gap, entities resolved, lower case, compatibility decomposition, only
+    letters, digits and blanks. Spark has no decomposition, so texts with other than ASCII
+    characters or entities pass Python."""
+    plain = text.rlike(r"^[\x00-\x7f]*$") & ~text.contains("&")
+    s = _where(text, ~plain, decomposed, F.lower(F.array_join(F.split(text, HIDDEN), "")))
+    return collapse(F.regexp_replace(s, r"(?U)[^\p{L}\p{N}\s]", ""))
 
 
-def ascii_fold(text: Column) -> Column:
-    """Compatibility decomposition with all that is not ASCII dropped. The one function here
-    that needs Python, as Spark has no decomposition; it works on Arrow batches."""
+def normalize_scored(text: Column, squeeze: bool = False, availability: bool = False) -> Column:
+    """The form in which outputs are scored: entities resolved, then all in angle brackets away;
+    a heading of the availability section and repeated whitespace on request."""
+    s = F.regexp_replace(text, r"(?i)^data\s+availability\s*[:.]?\s*", "") if availability else text
+    s = F.regexp_replace(unescape(s), "<[^>]+>", "")
+    return collapse(s) if squeeze else s
 
-    @F.pandas_udf("string")
-    def fold(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
 
-    return fold(text)
+def ascii_fold(text: Column) -> Column:
+    """Compatibility decomposition with all that is not ASCII dropped."""
+    plain = text.rlike(r"^[\x00-\x7f]*$")
+    return _where(text, ~plain, lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), text)
 
 
 def excerpt(text: Column, most: int = 160) -> Column:

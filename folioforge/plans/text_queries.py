@@ -2,30 +2,72 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.functions import errors, sequence, similarity, text
+from folioforge.functions import sql as sql_functions
 from folioforge.operators import dedup, linkage
 from folioforge.operators.partitioning import spread
 from folioforge.plans.catalog import query
 from folioforge.sources.tables import table
 
-# Parts of the oracle SQL that several queries share.
-STRIP = r"trim(regexp_replace(regexp_replace(regexp_replace({0}, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', ' ', 'g'), '</?[A-Za-z][^>]*>', ' ', 'g'), '[ \t\n\x0b\f\r]+', ' ', 'g'))"
-UNESCAPE = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&')"
-BASIC = STRIP.format(UNESCAPE.format(r"lower(trim(regexp_replace({0}, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g')))"))
-VERBATIM = (
-    r"trim(regexp_replace(regexp_replace(lower("
-    + UNESCAPE.format(r"regexp_replace(regexp_replace({0}, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'), '</?[A-Za-z][^>]*>', '', 'g')")
-    + r"), '[^\p{{L}}\p{{N}}\s]', '', 'g'), '[ \t\n\x0b\f\r]+', ' ', 'g'))"
-)
+# Parts of the oracle SQL that several queries share. The test tables hold six entities only.
+_WS = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_HIDDEN = r"<!--[\s\S]*?-->|<script[\s\S]*?</script>|<style[\s\S]*?</style>|</?[A-Za-z][^>]*>"
+UNESCAPE = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
+
+
+def _fill(sql: str, x: str) -> str:
+    return sql.replace("{0}", x)
+
+
+def _trimmed(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _collapsed(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{_WS}+', ' ', 'g'))"
+
+
+def _plain(x: str) -> str:
+    """SQL of strip_tags."""
+    parts = f"list_filter([{_trimmed(_fill(UNESCAPE, 'v'))} for v in regexp_split_to_array({x}, '{_HIDDEN}')], lambda v: v <> '')"
+    return f"CASE WHEN contains({x}, '<') AND contains({x}, '>') THEN array_to_string({parts}, ' ') ELSE {x} END"
+
+
+_STEP = r"regexp_replace({0}, '[\x00-\x09\x0b\x0c\x0e-\x1f\x7f-\x9f\p{Cf}]', '', 'g')"
+
+
+def basic_ctes(name: str, source: str) -> str:
+    """SQL: a relation (t, n) of the distinct texts of a one-column query and their normal form."""
+    lowered = _fill(UNESCAPE, f"lower({_trimmed(_fill(_STEP, 't'))})")
+    return f"{name}_a AS (SELECT DISTINCT t, {lowered} AS s FROM ({source}) x(t)), {name} AS (SELECT t, {_collapsed(_plain('s'))} AS n FROM {name}_a)"
+
+
+def decomposition_values() -> str:
+    """SQL rows of characters that compatibility decomposition changes, in the alphabets in use."""
+    ranges = (range(0xA0, 0x3001), range(0xFB00, 0xFB07), range(0xFF00, 0xFFF0))
+    pairs = ((chr(c), unicodedata.normalize("NFKD", chr(c))) for r in ranges for c in r)
+    return ", ".join(f"('{a}', '{b}')" for a, b in ((a, b.replace("'", "''")) for a, b in pairs if a != b))
 
 
-@query(f"SELECT extraction_id, md5({STRIP.format('figure_caption')}) AS plain_md5, length({STRIP.format('figure_caption')}) AS plain_length FROM caption_extraction")
+def verbatim_ctes(name: str, source: str) -> str:
+    """SQL: the same for the verbatim form; characters are decomposed by a join."""
+    bare = _fill(UNESCAPE, _fill(UNESCAPE, f"regexp_replace(t, '{_HIDDEN}', '', 'g')"))
+    return f"""{name}_d(c, d) AS (VALUES {decomposition_values()}),
+    {name}_a AS (SELECT DISTINCT t, lower({bare}) AS s FROM ({source}) x(t)),
+    {name}_b AS (SELECT t, string_agg(coalesce(d, c), '' ORDER BY k) AS s FROM (SELECT t, unnest(cs) AS c, generate_subscripts(cs, 1) AS k FROM (SELECT t, regexp_extract_all(s, '[\\s\\S]') AS cs FROM {name}_a WHERE regexp_matches(s, '[^\\x00-\\x7f]'))) LEFT JOIN {name}_d USING (c) GROUP BY t),
+    {name} AS (SELECT t, {_collapsed(r"regexp_replace(coalesce(b.s, a.s), '[^\p{L}\p{N}\s\x0b\x{85}\x{1680}\x{2028}\x{2029}]', '', 'g')")} AS n FROM {name}_a a LEFT JOIN {name}_b b USING (t))"""
+
+
+@query(f"SELECT extraction_id, md5(plain) AS plain_md5, length(plain) AS plain_length FROM (SELECT extraction_id, {_plain('figure_caption')} AS plain FROM caption_extraction)")
 def q01_strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = text.strip_tags(F.col("figure_caption"))
-    return spread(table(spark, sf_dir, "caption_extraction").select("extraction_id", "figure_caption")).select("extraction_id", F.md5(plain).alias("plain_md5"), F.char_length(plain).cast("bigint").alias("plain_length"))
+    rows = spread(table(spark, sf_dir, "caption_extraction").select("extraction_id", "figure_caption")).select("extraction_id", plain.alias("plain"))
+    return rows.select("extraction_id", F.md5("plain").alias("plain_md5"), F.char_length("plain").cast("bigint").alias("plain_length"))
 
 
 @query(r"""SELECT section_id, md5(regexp_replace('<ul><li> </li><li>' || data_availability || '</li><li>&nbsp;<br/></li></ul>', '(?i)<li>(?:\s|&nbsp;| |<br\s*/?>)*</li>', '', 'g')) AS clean_md5 FROM extracted_sections WHERE data_availability IS NOT NULL""")
@@ -35,16 +77,32 @@ def q02_sanitize_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("section_id", F.md5(text.drop_empty_items(padded)).alias("clean_md5"))
 
 
-@query(f"SELECT panel_info_id, md5({BASIC.format('panel_caption')}) AS norm_md5 FROM panel_info")
+@query(f"WITH {basic_ctes('f', 'SELECT panel_caption FROM panel_info')} SELECT panel_info_id, md5(n) AS norm_md5 FROM panel_info LEFT JOIN f ON panel_caption = t")
 def q03_normalize_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "panel_info").select("panel_info_id", "panel_caption")).select("panel_info_id", F.md5(text.normalize_basic(F.col("panel_caption"))).alias("norm_md5"))
 
 
-@query(f"SELECT doc_id, md5({VERBATIM.format('text')}) AS norm_md5 FROM documents")
+@query(f"""WITH {basic_ctes("g", "SELECT panel_caption FROM panel_list")}, d(c, d) AS (VALUES {decomposition_values()}), p AS (SELECT t, regexp_replace(n, '[!-,./:-@\\[-`{{-~]', ' ', 'g') AS n FROM g),
+    cs AS (SELECT t, unnest(regexp_extract_all(n, '[\\s\\S]')) AS c, generate_subscripts(regexp_extract_all(n, '[\\s\\S]'), 1) AS k FROM p),
+    a AS (SELECT t, string_agg(regexp_replace(coalesce(d, c), '[^\\x00-\\x7f]', '', 'g'), '' ORDER BY k) AS s FROM cs LEFT JOIN d USING (c) GROUP BY t)
+    SELECT panel_id, CASE WHEN panel_caption IS NOT NULL THEN {_collapsed("coalesce(s, '')")} END AS norm FROM panel_list LEFT JOIN a ON panel_caption = t""")
+def q03b_normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All steps: punctuation but the hyphen to blanks, and ASCII only."""
+    return table(spark, sf_dir, "panel_list").select("panel_id", text.normalize(F.col("panel_caption"), punctuation=True, keep="-", ascii_only=True).alias("norm"))
+
+
+@query(f"WITH {verbatim_ctes('f', 'SELECT text FROM documents')} SELECT doc_id, md5(n) AS norm_md5 FROM documents LEFT JOIN f ON text = t")
 def q04_normalize_verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.md5(text.normalize_verbatim(F.col("text"))).alias("norm_md5"))
 
 
+@query(rf"""SELECT section_id, {_collapsed("regexp_replace(" + _fill(UNESCAPE, "regexp_replace('Data  availability: ' || data_availability, '(?i)^data' || chr(92) || 's+availability' || chr(92) || 's*[:.]?' || chr(92) || 's*', '')") + ", '<[^>]+>', '', 'g')")} AS norm FROM extracted_sections""")
+def q04b_normalize_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Availability sections as they are scored: without their heading, tags and repeated blanks."""
+    headed = F.concat(F.lit("Data  availability: "), "data_availability")
+    return table(spark, sf_dir, "extracted_sections").select("section_id", text.normalize_scored(headed, squeeze=True, availability=True).alias("norm"))
+
+
 _LATEST_SECTION = "SELECT manuscript_id, arg_max(figure_legends, (extracted_at, section_id)) AS legends FROM (SELECT * FROM extracted_sections WHERE figure_legends IS NOT NULL) GROUP BY manuscript_id"
 
 
@@ -62,8 +120,9 @@ def _verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VERBATIM_SQL = f"""
-    WITH s AS (SELECT manuscript_id, {BASIC.format("legends")} AS legends FROM ({_LATEST_SECTION})),
-    p AS (SELECT panel_info_id, manuscript_id, source, {BASIC.format("panel_caption")} AS caption FROM panel_info)
+    WITH {basic_ctes("fs", f"SELECT legends FROM ({_LATEST_SECTION})")}, {basic_ctes("fp", "SELECT panel_caption FROM panel_info")},
+    s AS (SELECT manuscript_id, n AS legends FROM ({_LATEST_SECTION}) JOIN fs ON legends = t),
+    p AS (SELECT panel_info_id, manuscript_id, source, n AS caption FROM panel_info LEFT JOIN fp ON panel_caption = t)
     SELECT panel_info_id, source, caption, coalesce(contains(legends, caption) AND caption <> '', false) AS is_verbatim FROM p LEFT JOIN s USING (manuscript_id)
 """
 
@@ -87,8 +146,9 @@ def _verbatim_in_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VERBATIM_IN_ANY_SQL = f"""
-    WITH s AS (SELECT DISTINCT manuscript_id, {BASIC.format("figure_legends")} AS legends FROM extracted_sections WHERE figure_legends IS NOT NULL),
-    p AS (SELECT panel_info_id, manuscript_id, source, {BASIC.format("panel_caption")} AS caption FROM panel_info),
+    WITH {basic_ctes("fs", "SELECT figure_legends FROM extracted_sections")}, {basic_ctes("fp", "SELECT panel_caption FROM panel_info")},
+    s AS (SELECT DISTINCT manuscript_id, n AS legends FROM extracted_sections JOIN fs ON figure_legends = t),
+    p AS (SELECT panel_info_id, manuscript_id, source, n AS caption FROM panel_info LEFT JOIN fp ON panel_caption = t),
     h AS (SELECT DISTINCT manuscript_id, caption, true AS hit FROM (SELECT DISTINCT manuscript_id, caption FROM p WHERE caption <> '') JOIN s USING (manuscript_id) WHERE contains(legends, caption))
     SELECT panel_info_id, source, coalesce(hit, false) AS is_verbatim FROM p LEFT JOIN h USING (manuscript_id, caption)
 """
@@ -126,9 +186,9 @@ def _word_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _caption_pairs(spark, sf_dir).select("panel_id", words("a").alias("a"), words("b").alias("b"))
 
 
-_PAIRS = f"""
-    pairs AS (SELECT panel_id, list_filter(string_split(coalesce({VERBATIM.format("panel_caption")}, ''), ' '), lambda x: x <> '') AS a,
-              list_filter(string_split(coalesce({VERBATIM.format("figure_caption")}, ''), ' '), lambda x: x <> '') AS b FROM panel_list JOIN individual_caption USING (caption_id))
+_PAIRS = f"""{verbatim_ctes("f", "SELECT panel_caption FROM panel_list UNION ALL SELECT figure_caption FROM individual_caption")},
+    pairs AS (SELECT panel_id, list_filter(string_split(coalesce(x.n, ''), ' '), lambda w: w <> '') AS a, list_filter(string_split(coalesce(y.n, ''), ' '), lambda w: w <> '') AS b
+              FROM panel_list JOIN individual_caption USING (caption_id) LEFT JOIN f x ON panel_caption = x.t LEFT JOIN f y ON figure_caption = y.t)
 """
 
 
@@ -221,6 +281,23 @@ def q20_error_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.groupBy("reason").agg(F.count("*").alias("n"), F.max("requested").alias("requested")).withColumn("severity", errors.severity(F.col("reason")))
 
 
+@query(f"""WITH e AS ({_ERROR_SQL} UNION ALL SELECT 7, 'OverloadedError', 'busy' UNION ALL SELECT 8, 'APIStatusError', 'Overloaded, 12,000 in your prompt; 800 for completion'), f AS (SELECT event_id, name, message AS raw, lower(message) AS m, ['openai', 'anthropic'][event_id % 2 + 1] AS provider FROM events JOIN e ON event_id % 9 = k),
+    r AS (SELECT *, CASE
+        WHEN provider = 'openai' AND regexp_matches(m, 'maximum context') THEN 'context_length' WHEN provider = 'openai' AND regexp_matches(m, 'response was truncated') THEN 'output_length_limit' WHEN provider = 'openai' AND regexp_matches(m, 'invalid_prompt') THEN 'safety_block'
+        WHEN name = 'RateLimitError' OR contains(m, '503') OR provider = 'anthropic' AND (name = 'OverloadedError' OR contains(m, 'overloaded')) THEN 'transient_api_error'
+        WHEN name = 'BadRequestError' THEN 'invalid_request' WHEN name = 'AuthenticationError' THEN 'authentication_error' ELSE 'unexpected_error' END AS reason FROM f)
+    SELECT provider, reason, count(*) AS n, max(try_cast(replace(regexp_extract(m, 'maximum context length is ([0-9,]+) tokens', 1), ',', '') AS BIGINT)) AS max_context, max(try_cast(replace(regexp_extract(m, '([0-9,]+) in your prompt', 1), ',', '') AS BIGINT)) AS prompt,
+        max(try_cast(replace(regexp_extract(m, '([0-9,]+) for completion', 1), ',', '') AS BIGINT)) AS completion FROM r GROUP BY ALL""")
+def q20b_error_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors by the lists of their provider, with the token counts that their messages state."""
+    listed = [*_ERRORS.values(), ("OverloadedError", "busy"), ("APIStatusError", "Overloaded, 12,000 in your prompt; 800 for completion")]
+    known = F.create_map(*[x for k, (n, m) in enumerate(listed) for x in (F.lit(k), F.struct(F.lit(n).alias("name"), F.lit(m.replace("''", "'")).alias("message")))])
+    provider = F.when(F.col("event_id") % 2 == 0, "openai").otherwise("anthropic")
+    rows = table(spark, sf_dir, "events").select(provider.alias("provider"), known[(F.col("event_id") % 9).cast("int")].alias("e"))
+    got = rows.select("provider", errors.reason(F.col("e.name"), F.col("e.message"), F.col("provider")).alias("reason"), errors.token_details(F.col("e.message")).alias("t"))
+    return got.groupBy("provider", "reason").agg(F.count("*").alias("n"), *[F.max(f"t.{c}").alias(c) for c in ("max_context", "prompt", "completion")])
+
+
 @query(r"SELECT panel_info_id, coalesce(nullif(regexp_extract(upper(panel_label), '([A-Z])[0-9]*$', 1), ''), upper(panel_label)) AS label FROM panel_info")
 def q21_panel_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "panel_info").select("panel_info_id", text.panel_label(F.col("panel_label")).alias("label"))
@@ -250,6 +327,30 @@ def q24_archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", F.concat_ws(":", F.lit("archive.zip"), "m").alias("member"), text.file_name(F.col("m")).alias("safe_name"))
 
 
+@query(f"""WITH {verbatim_ctes("f", "SELECT panel_caption FROM panel_list UNION ALL SELECT figure_caption FROM individual_caption")}
+    SELECT panel_id, coalesce(contains(y.n, x.n) AND panel_caption <> '' AND figure_caption <> '', false) AS is_verbatim,
+    CASE WHEN coalesce(panel_caption, '') = '' OR coalesce(figure_caption, '') = '' THEN 'One or both texts are empty' WHEN contains(y.n, x.n) THEN 'The extraction is verbatim' ELSE 'The extraction is NOT verbatim' END AS details
+    FROM panel_list JOIN individual_caption USING (caption_id) LEFT JOIN f x ON panel_caption = x.t LEFT JOIN f y ON figure_caption = y.t""")
+def q71_sql_verify_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel captions checked against the caption of their figure by the registered function."""
+    sql_functions.register(spark)
+    pairs = spark.sql("SELECT panel_id, verify_caption_extraction(a, b) AS v FROM {pairs}", pairs=_caption_pairs(spark, sf_dir))
+    return pairs.select("panel_id", "v.is_verbatim", "v.details")
+
+
+@query("""WITH l AS (SELECT caption_id, list(regexp_replace(panel_label, '[().\\s]', '', 'g') ORDER BY panel_id) AS labels FROM panel_list WHERE panel_label IS NOT NULL GROUP BY caption_id),
+    w AS (SELECT *, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS abc FROM l WHERE regexp_full_match(labels[1], '[A-HJ-UW]')),
+    v AS (SELECT *, CASE WHEN contains(abc, labels[-1]) THEN [abc[i::INTEGER] for i in range(strpos(abc, labels[1]), strpos(abc, labels[-1]) + 1)] END AS want FROM w)
+    SELECT caption_id, coalesce(labels = want, false) AS is_valid, array_to_string(coalesce(want, labels), ',') AS fixed FROM v""")
+def q72_sql_verify_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of labels that begin with a capital letter, by the registered function."""
+    sql_functions.register(spark)
+    rows = table(spark, sf_dir, "panel_list").where("panel_label IS NOT NULL")
+    lists = rows.groupBy("caption_id").agg(F.array_sort(F.collect_list(F.struct("panel_id", "panel_label"))).alias("r"))  # tens of panels a caption
+    got = spark.sql("SELECT caption_id, r[0].panel_label AS first, verify_panel_sequence(r.panel_label) AS v FROM {lists}", lists=lists)
+    return got.where(F.regexp_replace("first", r"[().\s]", "").rlike("^[A-HJ-UW]$")).select("caption_id", "v.is_valid", F.array_join("v.fixed_sequence", ",").alias("fixed"))
+
+
 def _label_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of each caption's panels in order; a caption has tens of panels at most."""
     rows = table(spark, sf_dir, "panel_list").where("panel_label IS NOT NULL")
@@ -257,22 +358,49 @@ def _label_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("caption_id", sequence.bare_labels(F.col("r.panel_label")).alias("labels"))
 
 
-@query(r"""WITH l AS (SELECT caption_id, list(regexp_replace(panel_label, '[()\[\]{}.\s]', '', 'g') ORDER BY panel_id) AS labels FROM panel_list WHERE panel_label IS NOT NULL GROUP BY caption_id),
-    k AS (SELECT caption_id, labels, CASE WHEN upper(labels[1]) IN ('I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX', 'X') THEN 'roman' WHEN regexp_full_match(labels[1], '[A-Z]') THEN 'upper'
-        WHEN regexp_full_match(labels[1], '[a-z]') THEN 'lower' WHEN regexp_full_match(labels[1], '[0-9]+') THEN 'digits' ELSE 'invalid' END AS family FROM l)
-    SELECT caption_id, family, CASE WHEN family IN ('upper', 'lower') THEN len(list_filter(labels, lambda x: length(x) <> 1)) = 0
-        AND labels = [chr(c::INTEGER) for c in range(ascii(labels[1]), ascii(labels[-1]) + 1)] ELSE NULL END AS is_sequence FROM k WHERE family IN ('upper', 'lower')""")
+# Labels of a caption as they come, and three invented lists of each other family beside them.
+_LISTS_SQL = r"""l AS (SELECT caption_id, 0 AS kind, list(regexp_replace(panel_label, '[().\s]', '', 'g') ORDER BY panel_id) AS labels FROM panel_list WHERE panel_label IS NOT NULL GROUP BY caption_id
+    UNION ALL SELECT p_partkey, 1, [v::VARCHAR for v in range(p_partkey % 4, p_partkey % 4 + p_size % 5 + 1) if v <> p_size % 7] FROM part
+    UNION ALL SELECT p_partkey, 2, [rn[v::INTEGER] for v in range(1, p_size % 12 + 2) if v <> p_partkey % 5] FROM part, (SELECT ['I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX', 'X', 'XI', 'XII', 'XIII'] AS rn)
+    UNION ALL SELECT p_partkey, 3, CASE p_partkey % 3 WHEN 0 THEN ['1', 'x'] WHEN 1 THEN ['I', 'IIII'] ELSE ['?', 'A'] END FROM part)"""
+_KIND_SQL = r"""CASE WHEN labels[1] IN ('I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX', 'X') THEN 'roman' WHEN contains('ABCDEFGHIJKLMNOPQRSTUVWXYZ', labels[1]) THEN 'upper'
+    WHEN contains('abcdefghijklmnopqrstuvwxyz', labels[1]) THEN 'lower' WHEN regexp_full_match(labels[1], '[0-9]+') THEN 'digits' ELSE 'invalid' END"""
+
+
+_ROMANS = ", ".join(f"'{t}{u}'" for t in ("", "X", "XX", "XXX") for u in ("", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"))
+
+
+@query(rf"""WITH r AS (SELECT list_filter([{_ROMANS}], lambda x: x <> '') AS rl), {_LISTS_SQL}, k AS (SELECT *, {_KIND_SQL} AS family, CASE WHEN {_KIND_SQL} = 'lower' THEN 'abcdefghijklmnopqrstuvwxyz' ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' END AS abc FROM l),
+    v AS (SELECT *, [nullif(list_position(rl, upper(x)), 0) for x in labels] AS romans, [try_cast(x AS INTEGER) for x in labels] AS numbers FROM k, r),
+    w AS (SELECT *, CASE WHEN len(labels) = 0 THEN NULL WHEN family IN ('upper', 'lower') THEN CASE WHEN contains(abc, labels[1]) AND contains(abc, labels[-1]) THEN [abc[i::INTEGER] for i in range(strpos(abc, labels[1]), strpos(abc, labels[-1]) + 1)] END
+        WHEN family = 'digits' THEN CASE WHEN len(list_filter(numbers, lambda x: x IS NULL)) = 0 THEN [x::VARCHAR for x in range(numbers[1], numbers[-1] + 1)] END
+        WHEN family = 'roman' THEN CASE WHEN len(list_filter(romans, lambda x: x IS NULL)) = 0 THEN rl[list_min(romans):list_max(romans)] END END AS want FROM v),
+    o AS (SELECT *, coalesce(CASE WHEN family = 'roman' THEN len(list_distinct(romans)) = len(want) WHEN family = 'digits' THEN [x::VARCHAR for x in numbers] = want ELSE labels = want END, false) AS ok FROM w)
+    SELECT caption_id, kind, CASE WHEN len(labels) = 0 THEN NULL ELSE family END AS family, ok AS is_valid, array_to_string(CASE WHEN len(labels) = 0 THEN [] ELSE coalesce(want, labels) END, ',') AS fixed,
+        CASE WHEN len(labels) = 0 THEN 'No panel labels provided' WHEN ok THEN 'Sequence is valid' WHEN want IS NOT NULL THEN 'Sequence has gaps. Fixed sequence: ' || array_to_string(want, ', ') WHEN family = 'roman' THEN 'Invalid Roman numeral in sequence: ' || list_filter(labels, lambda x: NOT list_contains(rl, upper(x)))[1]
+        WHEN family = 'digits' THEN 'Invalid numeric value in sequence' WHEN family = 'invalid' THEN 'Unable to determine sequence type from labels' ELSE 'Labels contain characters not in the expected alphabet' END AS details FROM o""")
 def q30_panel_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = _label_lists(spark, sf_dir).withColumn("family", sequence.family(F.col("labels")))
-    return lists.where("family IN ('upper', 'lower')").select("caption_id", "family", sequence.is_sequence(F.col("labels")).alias("is_sequence"))
+    """Every list of labels with its unbroken run and what is wrong: letters, numbers, Roman
+    numerals and what is none of them."""
+    k, n = F.col("p_partkey"), F.col("p_size")
+    upto = lambda a, b: F.when(b >= a, F.sequence(a.cast("int"), b.cast("int"))).otherwise(F.array().cast("array<int>"))
+    numbers = F.transform(F.filter(upto(k % 4, k % 4 + n % 5), lambda v: v != n % 7), lambda v: v.cast("string"))
+    romans = F.transform(F.filter(upto(F.lit(1), n % 12 + 1), lambda v: v != k % 5), sequence.int_to_roman)
+    odd = F.when(k % 3 == 0, F.array(F.lit("1"), F.lit("x"))).when(k % 3 == 1, F.array(F.lit("I"), F.lit("IIII"))).otherwise(F.array(F.lit("?"), F.lit("A")))
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), c.alias("labels")) for i, c in enumerate((numbers, romans, odd), 1)])
+    invented = table(spark, sf_dir, "part").select(k.alias("caption_id"), F.inline(kinds))
+    lists = _label_lists(spark, sf_dir).select("caption_id", F.lit(0).alias("kind"), "labels").unionByName(invented)
+    family = F.when(F.size("labels") > 0, sequence.family(F.col("labels")))
+    got = lists.select("caption_id", "kind", family.alias("family"), sequence.verify(F.col("labels")).alias("v"))
+    return got.select("caption_id", "kind", "family", "v.is_valid", F.array_join("v.fixed_sequence", ",").alias("fixed"), "v.details")
 
 
 @query("""WITH r AS (SELECT * FROM (VALUES (1000, 'M'), (900, 'CM'), (500, 'D'), (400, 'CD'), (100, 'C'), (90, 'XC'), (50, 'L'), (40, 'XL'), (10, 'X'), (9, 'IX'), (5, 'V'), (4, 'IV'), (1, 'I')) t(v, d)),
-    n AS (SELECT DISTINCT (p_partkey % 3999 + 1)::INTEGER AS n FROM part)
+    n AS (SELECT DISTINCT (p_partkey % 4999 + 1)::INTEGER AS n FROM part)
     SELECT n, repeat('M', n // 1000) || ['', 'C', 'CC', 'CCC', 'CD', 'D', 'DC', 'DCC', 'DCCC', 'CM'][n // 100 % 10 + 1] || ['', 'X', 'XX', 'XXX', 'XL', 'L', 'LX', 'LXX', 'LXXX', 'XC'][n // 10 % 10 + 1]
         || ['', 'I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX'][n % 10 + 1] AS roman, n AS back FROM n""")
 def q30b_roman(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").select((F.col("p_partkey") % 3999 + 1).cast("int").alias("n")).distinct()
+    rows = table(spark, sf_dir, "part").select((F.col("p_partkey") % 4999 + 1).cast("int").alias("n")).distinct()
     roman = sequence.int_to_roman(F.col("n"))
     return rows.select("n", roman.alias("roman"), sequence.roman_to_int(roman).alias("back"))
 
