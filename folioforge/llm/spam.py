@@ -3,10 +3,11 @@
 A text is cut into blocks of whole lines and sentences. A block's compression ratio,
 divided by the median ratio of all blocks of its language and length, says how redundant
 it is; the share of its characters in real sentences is its sentence-punctuation evidence.
-A block is stuffing if it is extremely redundant and short of sentences; the less redundant
-it is, the fewer sentences it may have, and lists of links and tags, which hardly repeat
-themselves, must besides be made of links and short items. A document is spam if stuffing
-makes up more than half of its length.
+Lists of links and tags hardly repeat their letters but do repeat their make, so the same is
+measured once more with each link, code and number replaced by one sign. A block is
+stuffing if it is extremely redundant and short of sentences; the less redundant it is, the
+fewer sentences it may have, and a block redundant only in its make must besides consist of
+links and short items. A document is spam if stuffing makes up more than half of its length.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ from folioforge.operators.partitioning import spread
 from folioforge.session import materialize
 
 BLOCK = 600
-#: (relative ratio under which, share of characters in sentences up to which, share in links
-#: and short items from which) a block is stuffing; any one of the three is enough.
-STUFFING = ((0.80, 0.60, 0.0), (0.90, 0.45, 0.0), (1.15, 0.30, 0.6))
+#: (measure, its relative value under which, share of characters in sentences up to which, share
+#: in links and short items from which) a block is stuffing; any one of the three is enough.
+STUFFING = (("ratio", 0.80, 0.60, 0.0), ("ratio", 0.90, 0.45, 0.0), ("make", 0.80, 0.30, 0.6))
 #: Words of a short item.
 ITEM_WORDS = 6
-#: Blocks that a language and length must have for a median of its own.
-BLOCKS_LEAST = 50
+#: The median of a language and length counts as so many blocks less than it has, those of all
+#: languages of that length making up the difference.
+SHRINKAGE = 50
+#: Medians up to this number are sent to every task; there is one for each language and length.
+MOST_MEDIANS = 50_000
 
 # Function words of the corpus languages; a sentence has some of them.
 FUNCTION_WORDS = frozenset(
@@ -43,6 +47,9 @@ FUNCTION_WORDS = frozenset(
 _END = re.compile(r"[.!?…][\"')\]”’»]*(?=\s|$)")
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _LINK = re.compile(r"(?:https?://|www\.)\S+")
+_CODE = re.compile(r"\b[^\W\d_]*\d[\w-]*|\d+(?:[.,]\d+)*")
+_STOP_END = re.compile(r"[.!?…][\"')\]”’»]*$")
+_FACT = re.compile(r"[=<>;:%°μ(]|(?<![A-Za-z\d])\d")
 
 
 def units(text: str) -> Iterator[str]:
@@ -61,16 +68,18 @@ def is_sentence(unit: str) -> bool:
     """Whether a unit ends like a sentence and is built like one: words enough, among them
     function words, and no long run of short comma-parted items."""
     s = unit.strip()
-    if not re.search(r"[.!?…][\"')\]”’»]*$", s):
+    if not _STOP_END.search(s):
         return False
-    words = [w.lower() for w in _WORD.findall(_LINK.sub(" ", s))]
+    words = _WORD.findall(_LINK.sub(" ", s).lower())
     n = len(words)
-    if n < 4:
+    if n < 4 or s.count(",") > max(3, n // 8):
         return False
-    functional = sum(w in FUNCTION_WORDS for w in words)
-    if functional == 0 and not re.search(r"[=<>;:%°μ(]|(?<![A-Za-z\d])\d", s):
-        return False
-    return s.count(",") <= max(3, n // 8)
+    return not FUNCTION_WORDS.isdisjoint(words) or bool(_FACT.search(s))
+
+
+def make(block: str) -> str:
+    """The block with one sign for each link and one for each code or number."""
+    return _CODE.sub("0", _LINK.sub("@", block))
 
 
 _PARTS = re.compile(r"\s*[\r\n•|;*\t]\s*|,\s+|\s+[-–/·>]\s+")
@@ -92,7 +101,7 @@ def blocks(text: str, size: int = BLOCK) -> Iterator[tuple[str, int]]:
     held: list[tuple[str, int]] = []
     part, n, real = [], 0, 0
     for u in units(text):
-        ok = len(u) <= size and is_sentence(u)
+        ok = is_sentence(u)
         for k in range(0, len(u), size):
             piece = u[k : k + size]
             if n and n + len(piece) > size * 1.25:
@@ -114,7 +123,7 @@ def bucket(n_bytes: int) -> int:
     return round(4 * math.log2(max(16, n_bytes)))
 
 
-BLOCK_ROWS = "doc_id bigint, lang string, bucket int, chars long, sentence_chars long, item_chars long, ratio double"
+BLOCK_ROWS = "doc_id bigint, lang string, bucket int, chars long, sentence_chars long, item_chars long, ratio double, make double"
 
 
 def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,18 +134,30 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             for block, real in blocks(t):
                 raw = block.encode("utf-8", "replace")
-                rows.append((i, lang or "", bucket(len(raw)), len(block), real, itemised(block), len(zlib.compress(raw, 6)) / max(1, len(raw))))
-        yield pd.DataFrame(rows, columns=["doc_id", "lang", "bucket", "chars", "sentence_chars", "item_chars", "ratio"])
+                size = max(1, len(raw))
+                rows.append((i, lang or "", bucket(len(raw)), len(block), real, itemised(block), len(zlib.compress(raw, 6)) / size, len(zlib.compress(make(block).encode("utf-8", "replace"), 6)) / size))
+        yield pd.DataFrame(rows, columns=["doc_id", "lang", "bucket", "chars", "sentence_chars", "item_chars", "ratio", "make"])
 
 
 def block_measures(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Every block with its ratio relative to blocks of its language and length."""
+    """Every block with its ratios relative to blocks of its language and length.
+
+    The reference value of a language and length is the geometric mean of its own median and
+    that of all languages, weighted by its number of blocks against SHRINKAGE, so that few
+    blocks weigh little and no number of blocks changes the rule.
+    """
     rows = spread(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")))
     measured = materialize(rows.mapInPandas(_measure, BLOCK_ROWS))
-    own = measured.groupBy("lang", "bucket").agg(F.percentile_approx("ratio", 0.5, 1000).alias("own"), F.count("*").alias("n")).where(F.col("n") >= BLOCKS_LEAST).drop("n")
-    any_ = measured.groupBy("bucket").agg(F.percentile_approx("ratio", 0.5, 1000).alias("any"))
-    joined = measured.join(own, ["lang", "bucket"], "left").join(any_, "bucket")
-    return joined.withColumn("relative", F.col("ratio") / F.coalesce("own", "any"))
+    middle = lambda name: [F.percentile_approx(m, 0.5, 1000).alias(f"{name}_{m}") for m in ("ratio", "make")]
+    own = measured.groupBy("lang", "bucket").agg(*middle("own"), F.count("*").alias("n"))
+    every = measured.groupBy("bucket").agg(*middle("any"))
+    weight = F.col("n") / (F.col("n") + SHRINKAGE)
+    usual = [F.greatest(F.pow(f"own_{m}", weight) * F.pow(f"any_{m}", 1 - weight), F.lit(1e-6)).alias(f"usual_{m}") for m in ("ratio", "make")]
+    medians = materialize(own.join(every, "bucket").select("lang", "bucket", *usual))
+    if medians.limit(MOST_MEDIANS + 1).count() <= MOST_MEDIANS:
+        medians = F.broadcast(medians)
+    joined = measured.join(medians, ["lang", "bucket"])
+    return joined.withColumns({f"relative_{m}": F.col(m) / F.col(f"usual_{m}") for m in ("ratio", "make")})
 
 
 def find_spam(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -145,6 +166,6 @@ def find_spam(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     Repeated documents each have their own row. A null language counts as a language.
     """
     stuffed = F.lit(False)
-    for ratio, sentences, items in STUFFING:
-        stuffed = stuffed | ((F.col("relative") < ratio) & (F.col("sentence_chars") <= sentences * F.col("chars")) & (F.col("item_chars") >= items * F.col("chars")))
+    for measure, below, sentences, items in STUFFING:
+        stuffed = stuffed | ((F.col(f"relative_{measure}") < below) & (F.col("sentence_chars") <= sentences * F.col("chars")) & (F.col("item_chars") >= items * F.col("chars")))
     return block_measures(df, doc_id, text, lang).groupBy("doc_id").agg((F.sum(F.when(stuffed, F.col("chars")).otherwise(0)) / F.sum("chars")).alias("stuffed_share"))
