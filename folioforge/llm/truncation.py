@@ -3,14 +3,17 @@
 Length evidence: for each table and source a lognormal length distribution is fitted by
 maximum likelihood with right-censoring. Lengths, in characters or in UTF-8 bytes, at which
 values without an ending pile up far beyond what the fit and the neighbouring lengths
-explain are candidate limits; what is piled up there counts as censored. The share that is
-not explained is the censoring posterior of a value at the limit; elsewhere the source's own
-rate of cuts in transfer stands in its place.
+explain are candidate limits, one after another, the fit renewed with what is piled up there
+as censored, until nothing is left to explain. The share that is not explained is the
+censoring posterior of a value at the limit; elsewhere the source's own rate of cuts in
+transfer stands in its place.
 
 Ending evidence: how often cutting the corpus at a random character would leave a text
 with this ending (the head of its last sentence and its last words, names and numbers
 abstracted), against how often texts do end so. Endings of complete texts occur far more
-often than cutting explains. Both kinds of evidence are combined as odds.
+often than cutting explains. A mark of the cutting system, a broken character and a tag cut
+through or left open are endings that hardly any complete text has. Both kinds of evidence
+are combined as odds, for every text alike.
 """
 
 from __future__ import annotations
@@ -32,10 +35,8 @@ MARKER = r"(?:…|\.\.\.|\[(?:…|\.\.\.|more|cut|truncated|continued)\]|\((?:
 ABBREVIATION = r"(?i)(?:^|[\s(])(?:e\.g|i\.e|cf|figs?|approx|vs|al|ca|nos?|refs?|eqs?|suppl|resp|incl|ed|vol|pp?)\.$"
 # Tags that are closed again.
 PAIRED = "p|strong|em|b|i|u|sub|sup|span|li|ul|ol|div|td|tr|table|h[1-6]"
-#: A pile of fewer unended values makes no limit; nor one that chance explains with this probability.
-PILE_LEAST, CHANCE = 4, 1e-6
-#: Values shorter than this are no candidates for a field limit.
-LIMIT_LEAST = 20
+#: A pile of unended values that chance explains with this probability makes no limit.
+CHANCE = 1e-6
 #: Evidence of an ending weighs as much as so many observations of the coarser one behind it.
 SMOOTHING = 3.0
 #: Cuts are not spread evenly: up to so many times the expected number is no sign of a complete ending.
@@ -46,8 +47,12 @@ SENTENCE_CHARS = 80
 REACHABLE, UNREACHABLE = 0.9, 0.3
 #: What an ending that no cut of the corpus can leave takes off the chance, at the middle and the finest grain.
 UNREACHED = {"_mid": 0.2, "": 0.7}
-#: Words of the context model are told apart by so many first characters.
-WORD_KEY = 24
+#: Chance that a text with a mark of cutting, a broken character or an open tag was cut.
+MARKED = 0.9999
+#: Words up to this length stand for themselves in the context model, longer ones by as many first characters and a hash.
+PLAIN_WORD = 24
+#: Words of a sentence that are carried through the count together.
+STRETCH = 64
 
 
 def _clean(text: Column) -> Column:
@@ -56,7 +61,7 @@ def _clean(text: Column) -> Column:
 
 def _shape(clean: Column) -> Column:
     """Numbers, codes and names inside sentences by one sign each; sentence heads stay."""
-    s = F.regexp_replace(clean, r"(?<=[^.!?)\s][\s-]{1,2})\p{Lu}\p{Ll}+", "Xx")
+    s = F.regexp_replace(clean, r"\p{Lu}(?<=[^.!?)\s][\s-]{1,2}\p{Lu})\p{Ll}+", "Xx")
     s = F.regexp_replace(s, r"\p{Lu}{2,}", "X")
     return F.regexp_replace(s, r"\d+", "9")
 
@@ -65,14 +70,18 @@ def _sentences(shape: Column) -> Column:
     """Arrays of words of each sentence, enumerators at its head left out."""
     parts = F.split(shape, r"(?<=[.!?][)\]]?)\s+|\n+")
     plain = F.transform(parts, lambda s: F.regexp_replace(F.trim(s), r"^(?:\(?\p{Lu}\)|\p{Lu},)\s*", ""))
-    return F.transform(F.filter(plain, lambda s: s != ""), lambda s: F.transform(F.split(s, r"\s+"), lambda w: F.substring(w, 1, WORD_KEY)))
+    return F.transform(F.filter(plain, lambda s: s != ""), lambda s: F.split(s, r"\s+"))
 
 
 KEY = ["h1", "h2", "p2", "p1", "w"]
 
 
+def _key(word: Column) -> Column:
+    return F.when(F.length(word) <= PLAIN_WORD, word).otherwise(F.concat(F.substring(word, 1, PLAIN_WORD), F.lit("#"), F.hex(F.xxhash64(word))))
+
+
 def _word(words: Column, k: Column) -> Column:
-    return F.coalesce(F.try_element_at(words, k), F.lit("^"))
+    return F.coalesce(_key(F.try_element_at(words, k)), F.lit("^"))
 
 
 def prepare(df: DataFrame) -> DataFrame:
@@ -80,72 +89,99 @@ def prepare(df: DataFrame) -> DataFrame:
     clean = _clean(F.col("text"))
     rows = df.where(F.col("text").isNotNull() & (F.length(F.trim("text")) > 0)).withColumn("clean", clean)
     opened, closed = F.regexp_count("text", F.lit(f"(?i)<(?:{PAIRED})\\b[^<>]*>")), F.regexp_count("text", F.lit(f"(?i)</(?:{PAIRED})\\s*>"))
-    stop = F.col("clean").rlike(r"[.!?][)\]\"'”’»]*$") & ~F.col("clean").rlike(ABBREVIATION)
+    tail = F.right("clean", F.lit(64))  # longer than any abbreviation
+    stop = F.col("clean").rlike(r"[.!?][)\]\"'”’»]*$") & ~tail.rlike(ABBREVIATION)
     return rows.select(
         "table_name", "row_id", F.coalesce("source", F.lit("")).alias("source"),
         F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"),
-        F.col("clean").rlike(MARKER).alias("marked"),
-        (F.col("clean").rlike(r"<[/A-Za-z]?[^<>\s]*$") | (opened > closed)).alias("broken"),
+        (F.col("clean").rlike(MARKER) | F.col("clean").rlike(r"<[/A-Za-z]?[^<>\s]*$") | (opened > closed)).alias("marked"),
         stop.alias("ended"),
-        (~stop | F.col("clean").rlike(r"(?:^|[^\d.,])\d+\.$")).alias("open"),
+        (~stop | tail.rlike(r"(?:^|[^\d.,])\d+\.$")).alias("open"),
         F.xxhash64("clean").alias("text_id"),
         _sentences(_shape(F.col("clean"))).alias("sentences"),
     )
 
 
 def tails(prepared: DataFrame) -> DataFrame:
-    """The rows with the key of their ending."""
-    last = F.try_element_at(F.col("sentences"), F.lit(-1))
+    """The rows with the key of their ending and the length of its last word."""
+    last = F.coalesce(F.try_element_at(F.col("sentences"), F.lit(-1)), F.array(F.lit("^")))
     n = F.size("last")
-    before = F.when(n > 1, F.try_element_at("last", n - 1)).otherwise("^")
-    before2 = F.when(n > 2, F.try_element_at("last", n - 2)).otherwise("^")
-    return prepared.withColumn("last", F.coalesce(last, F.array(F.lit("^")))).select(
-        *[c for c in prepared.columns if c != "sentences"],
+    return prepared.withColumn("last", last).select(
+        *prepared.columns,
         _word(F.col("last"), F.lit(1)).alias("h1"), _word(F.col("last"), F.lit(2)).alias("h2"),
-        F.coalesce(before2, F.lit("^")).alias("p2"), F.coalesce(before, F.lit("^")).alias("p1"), _word(F.col("last"), F.lit(-1)).alias("w"),
+        F.when(n > 2, _word(F.col("last"), n - 2)).otherwise("^").alias("p2"), F.when(n > 1, _word(F.col("last"), n - 1)).otherwise("^").alias("p1"),
+        _word(F.col("last"), F.lit(-1)).alias("w"), F.length(F.try_element_at("last", F.lit(-1))).alias("w_length"),
     )
 
 
-def cut_positions(prepared: DataFrame) -> DataFrame:
-    """(key, n): characters of the corpus at which a cut would leave the ending of that key.
-
-    Words are counted by their context first, with map-side combining; only the distinct
-    ones are taken apart into their beginnings. A cut right behind the stop of a sentence
-    leaves no ending to tell and is not counted here.
-    """
-    def context(words: Column, s: Column) -> Column:
-        final = s + 1 == F.size("sentences")
-        at = lambda k: F.coalesce(F.get(words, k), F.lit("^"))
+def contexts(prepared: DataFrame) -> DataFrame:
+    """Every distinct word of the corpus with its context, how often it stands there (n) and how
+    often the text goes on behind it (followed); counted with map-side combining."""
+    # Sentences are taken apart into stretches of bounded length with the two words before them,
+    # so that no exploded row carries more than one stretch.
+    def stretches(words: Column, s: Column) -> Column:
+        at = lambda k: _key(F.coalesce(F.get(words, F.lit(k)), F.lit("^")))
         return F.transform(
-            words,
-            lambda w, k: F.struct(
-                at(F.lit(0)).alias("h1"), F.when(k >= 1, at(F.lit(1))).otherwise("?").alias("h2"), F.when(k >= 2, at(k - 2)).otherwise("^").alias("p2"),
-                F.when(k >= 1, at(k - 1)).otherwise("^").alias("p1"), w.alias("w"), (final & (k + 1 == F.size(words))).alias("very_last"), (k == 0).alias("head"), (k == 1).alias("second"),
+            F.sequence(F.lit(0), F.size(words) - 1, F.lit(STRETCH)),
+            lambda a: F.struct(
+                a.alias("a"), at(0).alias("h1"), at(1).alias("h2"), F.slice(words, F.greatest(a - 1, F.lit(1)), F.least(a, F.lit(2)) + STRETCH).alias("part"),
+                F.when(s + 1 == F.size("sentences"), F.size(words) - 1).otherwise(-1).alias("very_last"),
             ),
         )
 
-    # contexts are made inside the arrays, so no exploded row carries its whole sentence
-    words = prepared.select(F.explode(F.flatten(F.transform("sentences", context))).alias("x")).select("x.*")
-    counted = words.groupBy("h1", "h2", "p2", "p1", "w", "head", "second").agg(F.count("*").alias("n"), F.sum(F.when(F.col("very_last"), 0).otherwise(1)).alias("followed"))
-    begun = counted.withColumn("k", F.explode(F.sequence(F.lit(1), F.length("w")))).withColumn("t", F.expr("substring(w, 1, k)"))
+    parts = prepared.select(F.inline(F.flatten(F.transform("sentences", stretches)))).select("*", F.posexplode("part").alias("j", "w"))
+    k = F.greatest(F.col("a") - 2, F.lit(0)) + F.col("j")
+    before = lambda d: _key(F.get("part", F.col("j") - d))
+    words = parts.withColumn("k", k).where("k >= a").select(
+        F.when(F.col("k") >= 1, F.col("h1")).otherwise("?").alias("h1"), F.when(F.col("k") >= 2, F.col("h2")).otherwise("?").alias("h2"),
+        F.when(F.col("k") >= 2, before(2)).otherwise("^").alias("p2"), F.when(F.col("k") >= 1, before(1)).otherwise("^").alias("p1"),
+        "w", F.least("k", F.lit(2)).alias("place"), F.when(F.col("k") == F.col("very_last"), 0).otherwise(1).alias("goes_on"),
+    )
+    return words.groupBy("h1", "h2", "p2", "p1", "w", "place").agg(F.count("*").alias("n"), F.sum("goes_on").alias("followed"))
+
+
+def cut_positions(counted: DataFrame, ends: DataFrame) -> DataFrame:
+    """(key, n): characters of the corpus at which a cut would leave an ending of that key.
+
+    Words are taken apart only where some text of the corpus ends in the same sentence head and
+    behind the same word, and only into beginnings as long as the last words there. A cut
+    right behind the stop of a sentence leaves no ending to tell and is not counted here.
+    """
+    lengths = lambda rows: F.array_sort(F.collect_set("w_length"))  # noqa: E731, ARG005
+    at_head = ends.where("p1 = '^'").agg(lengths(ends)).first()[0]
+    asked = ends.where("p1 <> '^'").groupBy("h1", "p1").agg(lengths(ends).alias("lengths"))
+    first = counted.where("place = 0").withColumn("lengths", F.lit(at_head) if at_head else F.array().cast("array<int>"))
+    later = counted.where("place > 0").join(asked, ["h1", "p1"])
+    both = first.unionByName(later)
+    begun = both.withColumn("k", F.explode(F.filter("lengths", lambda k: k <= F.length("w")))).withColumn("t", _key(F.expr("substring(w, 1, k)")))
     # A sentence cut within its first or second word has the part as its head.
+    n = F.when(F.col("k") < F.length("w"), F.col("n")).when(F.col("w").rlike(r"[.!?]$"), 0).otherwise(2 * F.col("followed"))
     keys = begun.select(
-        F.when(F.col("head"), F.col("t")).otherwise(F.col("h1")).alias("h1"),
-        F.when(F.col("head"), F.lit("^")).when(F.col("second"), F.col("t")).otherwise(F.col("h2")).alias("h2"),
-        "p2", "p1", F.col("t").alias("w"), F.when(F.col("k") < F.length("w"), F.col("n")).when(F.col("w").rlike(r"[.!?]$"), 0).otherwise(2 * F.col("followed")).alias("n"),
+        F.when(F.col("place") == 0, F.col("t")).otherwise(F.col("h1")).alias("h1"),
+        F.when(F.col("place") == 0, "^").when(F.col("place") == 1, F.col("t")).otherwise(F.col("h2")).alias("h2"),
+        "p2", "p1", F.col("t").alias("w"), n.alias("n"),
     )
     return keys.groupBy(*KEY).agg(F.sum("n").alias("n")).where("n > 0")
 
 
-def _levels(positions: DataFrame, ends: DataFrame) -> DataFrame:
+def _levels(counted: DataFrame, ends: DataFrame) -> DataFrame:
     """For each key of an observed ending: observed ends and cut positions, at three grains."""
-    fine = ends.join(positions, KEY, "left").select(*KEY, "e", F.coalesce("n", F.lit(0)).alias("n"))
-    mid_key, top_key = ["h1", "p1", "w"], ["h1"]
-    for name, key in (("mid", mid_key), ("top", top_key)):
-        e = ends.groupBy(*key).agg(F.sum("e").alias(f"e_{name}"))
-        n = positions.groupBy(*key).agg(F.sum("n").alias(f"n_{name}"))
-        fine = fine.join(e.join(n, key, "left").select(*key, f"e_{name}", F.coalesce(f"n_{name}", F.lit(0)).alias(f"n_{name}")), key)
-    return fine
+    positions = cut_positions(counted, ends)
+    # Both by all three grains at once, from the fine counts.
+    grain = lambda name, key: F.struct(F.lit(name).alias("grain"), *[(F.col(c) if c in key else F.lit("")).alias(c) for c in KEY])
+    grains = {"": KEY, "_mid": ["h1", "p1", "w"], "_top": ["h1"]}
+    either = ends.select(*KEY, "e", F.lit(0).cast("long").alias("n")).unionByName(positions.select(*KEY, F.lit(0).cast("long").alias("e"), "n"))
+    # The coarsest grain counts every character behind the head, whether a text ends there or not.
+    wide = F.when(F.col("w").rlike(r"[.!?]$"), 0).otherwise(2 * F.col("followed")) + (F.length("w") - 1) * F.col("n")
+    tops = counted.where("place > 0").groupBy("h1").agg(F.sum(wide).alias("n")).join(ends.select("h1").distinct(), "h1", "left_semi")
+    by_grain = either.select(F.explode(F.array(*[grain(g, k) for g, k in grains.items()])).alias("g"), "e", F.when((F.col("p1") == "^") | (F.col("g.grain") != "_top"), F.col("n")).otherwise(0).alias("n")).select("g.*", "e", "n")
+    whole = by_grain.unionByName(tops.select(F.lit("_top").alias("grain"), "h1", *[F.lit("").alias(c) for c in KEY[1:]], F.lit(0).cast("long").alias("e"), "n"))
+    sums = materialize(whole.groupBy("grain", *KEY).agg(F.sum("e").alias("e"), F.sum("n").alias("n")).where("e > 0"))
+    out = None
+    for g, key in grains.items():
+        part = sums.where(F.col("grain") == g).select(*key, F.col("e").alias(f"e{g}"), F.col("n").alias(f"n{g}"))
+        out = part if out is None else out.join(part, key)
+    return out
 
 
 def _pooled_rate(levels: DataFrame) -> float:
@@ -194,43 +230,54 @@ def _poisson_tail(k: float, mean: float) -> float:
     return 1.0 if k <= mean else math.exp(k - mean - k * math.log(k / mean)) if mean > 0 else 0.0
 
 
+def _best_pile(left: pd.DataFrame, natural: NormalDist, total: int, open_share: float) -> tuple | None:
+    """The length, in either unit, whose unended values exceed what the fit and the neighbouring
+    lengths explain by most: (excess, values there, unit, length, width, explained)."""
+    best = None
+    for unit, width in (("n_chars", 2), ("n_bytes", 4)):
+        h = left.groupby(unit)[["n_open", "chars"]].sum()
+        if h.empty:
+            continue
+        size = int(h.index.max()) + 1
+        dense = np.zeros(size + width + 1)
+        dense[h.index.to_numpy()] = h["n_open"].to_numpy()
+        chars = (h["chars"] / left.groupby(unit)["n"].sum()).to_dict()
+        sums = np.concatenate([[0], np.cumsum(dense)])
+        for at in h.index[h["n_open"] >= 0.5]:
+            pile = sums[at + 1] - sums[max(0, at + 1 - width)]
+            if dense[at] < 0.3 * pile:
+                continue
+            reach = max(12, at // 8)
+            lo, hi = max(1, at - reach), min(len(dense) - 1, at + reach)
+            around = (sums[hi + 1] - sums[lo]) - (sums[min(at + 3, hi + 1)] - sums[max(at - 5, lo)])
+            n = max(2.0, chars[at])
+            fitted = total * open_share * (natural.cdf(math.log(n + 1)) - natural.cdf(math.log(max(1.0, n + 1 - width))))
+            expected = max(0.3 * width, around / max(1, hi - lo + 1 - 8) * width, fitted)
+            excess = pile - expected
+            if _poisson_tail(pile, expected) < CHANCE and (best is None or (excess, dense[at]) > best[:2]):
+                best = (excess, dense[at], unit, int(at), width, expected)
+    return best
+
+
 def limits_of(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Candidate limits of one table and source from its histogram of lengths."""
+    """Candidate limits of one table and source from its histogram of lengths: as many as there
+    are; each round takes the values of one out of the histogram and renews the fit."""
     table, source = pdf["table_name"].iloc[0], pdf["source"].iloc[0]
-    left = pdf.copy()
+    left = pdf.assign(chars=pdf["n_chars"] * pdf["n"])
     total = int(pdf["n"].sum())
     found = []
-    while True:  # each round takes values out of the histogram
-        best = None
-        for unit, width in (("n_chars", 2), ("n_bytes", 4)):
-            h = left.groupby(unit)["n_open"].sum()
-            if h.empty:
-                continue
-            size = int(h.index.max()) + 1
-            dense = np.zeros(size + width + 1)
-            dense[h.index.to_numpy()] = h.to_numpy()
-            sums = np.concatenate([[0], np.cumsum(dense)])
-            for at in h.index[(h >= 0.5) & (h.index >= LIMIT_LEAST)]:
-                pile = sums[at + 1] - sums[at + 1 - width]
-                if pile < PILE_LEAST or dense[at] < 0.3 * pile:
-                    continue
-                reach = max(12, at // 8)
-                lo, hi = max(1, at - reach), min(len(dense) - 1, at + reach)
-                around = (sums[hi + 1] - sums[lo]) - (sums[min(at + 3, hi + 1)] - sums[max(at - 5, lo)])
-                expected = max(0.3, around / max(1, hi - lo + 1 - 8)) * width
-                excess = pile - expected
-                if _poisson_tail(pile, expected) < CHANCE and (best is None or (excess, dense[at]) > best[:2]):
-                    best = (excess, dense[at], unit, int(at), width, expected)
+    while True:
+        lengths = left.groupby("n_chars")["n"].sum()
+        mu, sigma = fit_censored(lengths.index.to_numpy(float), lengths.to_numpy(float), np.array([f[6] for f in found]), np.array([float(f[3]) for f in found]))
+        nd = NormalDist(mu, sigma)
+        open_share = left["n_open"].sum() / max(1, left["n"].sum())
+        best = _best_pile(left, nd, total, open_share)
         if best is None:
             break
-        excess, _, unit, at, width, expected = best
+        _, _, unit, at, width, expected = best
         mask = (left[unit] > at - width) & (left[unit] <= at)
         found.append((unit, at, width, float(left.loc[mask, "n_open"].sum()), float(left.loc[mask, "n_ended"].sum()), expected, float(left.loc[mask, "n_chars"].mean())))
         left = left[~mask]
-    natural = left.groupby("n_chars")["n"].sum()
-    mu, sigma = fit_censored(natural.index.to_numpy(float), natural.to_numpy(float), np.array([f[6] for f in found]), np.array([float(f[3]) for f in found]))
-    nd = NormalDist(mu, sigma)
-    open_share = left["n_open"].sum() / max(1, left["n"].sum())
     rows = []
     for unit, at, width, n_open, n_ended, expected, chars in found:
         fitted = total * (nd.cdf(math.log(chars + 1)) - nd.cdf(math.log(max(1.0, chars + 1 - width)))) * open_share
@@ -265,14 +312,11 @@ def judge(df: DataFrame) -> DataFrame:
 
     Null, empty and blank texts are left out: they are no cases. Repeated rows are judged
     each, but count as one ending among the observed. A null source is a source of its own.
-    An ending mark of the cutting system, a broken character and a tag cut through or left
-    open each decide by themselves.
     """
-    prepared = materialize(tails_and_sentences(df))
-    rows = prepared.drop("sentences")
-    sure = F.col("marked") | F.col("broken")
-    ends = rows.where(F.col("open") & ~sure).select(*KEY, "text_id").distinct().groupBy(*KEY).agg(F.count("*").alias("e"))
-    levels = materialize(_levels(materialize(cut_positions(prepared)), materialize(ends)))
+    prepared = materialize(tails(prepare(spread(df))))
+    rows = prepared.drop("sentences", "w_length")
+    ends = materialize(prepared.where(F.col("open") & ~F.col("marked")).select(*KEY, "w_length", "text_id").distinct().groupBy(*KEY).agg(F.count("*").alias("e"), F.max("w_length").alias("w_length")))
+    levels = _levels(materialize(contexts(prepared)), ends)
     rate = _pooled_rate(levels)
 
     def share(level: str, behind: Column) -> Column:
@@ -283,8 +327,9 @@ def judge(df: DataFrame) -> DataFrame:
 
     unseen = F.when(F.col("n_top") > 0, REACHABLE).otherwise(UNREACHABLE)
     keys = levels.withColumn("p_top", share("_top", unseen)).withColumn("p_mid", share("_mid", F.col("p_top"))).withColumn("p_key", share("", F.col("p_mid")))
+    p_end = F.when(F.col("marked"), MARKED).when(F.col("open"), F.coalesce("p_key", F.lit(0.0))).otherwise(0.0)
     scored = materialize(
-        rows.where(~sure).join(keys.select(*KEY, "p_key"), KEY, "left").select("table_name", "row_id", "source", "n_chars", "n_bytes", "open", "ended", F.when(F.col("open"), F.col("p_key")).otherwise(0.0).alias("p_key"))
+        rows.join(keys.select(*KEY, "p_key"), KEY, "left").select("table_name", "row_id", "source", "n_chars", "n_bytes", "marked", (F.col("open") | F.col("marked")).alias("open"), (F.col("ended") & ~F.col("marked")).alias("ended"), p_end.alias("p_key"))
     )
     limits = materialize(source_limits(scored))
     for unit in ("n_chars", "n_bytes"):
@@ -292,17 +337,17 @@ def judge(df: DataFrame) -> DataFrame:
         scored = scored.join(at, ["table_name", "source", unit], "left")
     p_limit = F.greatest(*(F.coalesce(F.when(F.col("ended"), F.col(f"ended_{u}")).otherwise(F.col(f"open_{u}")), F.lit(0.0)) for u in ("n_chars", "n_bytes")))
     at_limit = F.coalesce("open_n_chars", "open_n_bytes").isNotNull()
-    scored = scored.select("table_name", "row_id", "source", "open", "ended", "p_key", p_limit.alias("p_limit"), at_limit.alias("at_limit"))
-    own = scored.where(F.col("open") & ~F.col("at_limit")).groupBy("table_name", "source").agg(F.sum("p_key").alias("s"), F.count("*").alias("n"))
-    pooled = scored.where("open").agg(F.avg("p_key")).first()[0] or 0.5
-    prior = F.when(F.col("at_limit"), F.col("p_limit")).otherwise((F.coalesce("s", F.lit(0.0)) + pooled) / (F.coalesce("n", F.lit(0)) + 1))
+    scored = scored.select("table_name", "row_id", "source", "marked", "open", "p_key", p_limit.alias("p_limit"), at_limit.alias("at_limit"))
+    plain = F.col("open") & ~F.col("marked")
+    own = scored.where(plain & ~F.col("at_limit")).groupBy("table_name", "source").agg(F.sum("p_key").alias("s"), F.count("*").alias("n"))
+    pooled = scored.where(plain).agg(F.avg("p_key")).first()[0] or 0.5
+    # A mark comes with the cut wherever that falls, so the pile at a limit says nothing against it.
+    transfer = (F.coalesce("s", F.lit(0.0)) + pooled) / (F.coalesce("n", F.lit(0)) + 1)
+    prior = F.when(F.col("at_limit"), F.when(F.col("marked"), F.greatest("p_limit", transfer)).otherwise(F.col("p_limit"))).otherwise(transfer)
     odds = _odds(F.col("p_key")) / _odds(F.lit(float(pooled))) * _odds(prior)
     p_cut = F.when(F.col("open"), odds / (1 + odds)).otherwise(F.col("p_limit"))
-    weighed = scored.join(own, ["table_name", "source"], "left").select("table_name", "row_id", "source", p_cut.alias("p_cut"))
-    return weighed.unionByName(rows.where(sure).select("table_name", "row_id", "source", F.lit(1.0).alias("p_cut")))
+    return scored.join(F.broadcast(own) if _few(own) else own, ["table_name", "source"], "left").select("table_name", "row_id", "source", p_cut.alias("p_cut"))
 
 
-def tails_and_sentences(df: DataFrame) -> DataFrame:
-    p = prepare(spread(df))
-    t = tails(p.withColumn("kept", F.col("sentences")))
-    return t.withColumnRenamed("kept", "sentences").drop("last")
+def _few(df: DataFrame, rows: int = 50_000) -> bool:
+    return df.limit(rows + 1).count() <= rows

@@ -84,3 +84,37 @@ def test_more_than_eight_limits():
     pdf = pdf.assign(table_name="t", source="s", n_bytes=pdf["n_chars"] + 7)
     got = limits_of(pdf)
     assert {a - 7 if u == "n_bytes" else a for u, a in zip(got.iloc[:, 2], got.iloc[:, 3])} == set(limits)
+
+
+def test_long_words_and_long_sentences(spark):
+    """Words beyond the plain length are told apart, stretches lose no word, and nothing grows beyond the text."""
+    from pyspark.sql import functions as F
+
+    from folioforge.llm.truncation import STRETCH, contexts
+
+    long_words = ["x" * 40 + "a", "x" * 40 + "b"]
+    sentence = [f"w{i}" for i in range(3 * STRETCH + 5)]
+    df = spark.createDataFrame([([sentence, long_words * 2],)], "sentences array<array<string>>")
+    got = contexts(df).collect()
+    assert sum(r.n for r in got) == len(sentence) + 4 and sum(r.followed for r in got) == len(sentence) + 3
+    assert {(r.p2, r.p1, r.w) for r in got if r.w in sentence[2:]} == set(zip(sentence, sentence[1:], sentence[2:]))
+    assert len({r.p1 for r in got if r.w in long_words}) == 3  # none, and each of the two
+    rows = [("t", i, "s", t) for i, t in enumerate(["y" * 100_000, "The " + "word " * 20_000, "The end is here.", " "])]
+    judged = judge(spark.createDataFrame(rows, "table_name string, row_id bigint, source string, text string")).agg(F.count("*")).first()[0]
+    assert judged == 3
+
+
+def test_marks_are_evidence_of_the_model(spark):
+    rows = [("t", i, "s", f"The cells of line {i} grew in the dark.") for i in range(40)] + [("t", 90, "s", "The cells of line 7 gr…"), ("t", 91, "s", "The cells of <b>line 7 grew in the dark.")]
+    got = {r.row_id: r.p_cut for r in judge(spark.createDataFrame(rows, "table_name string, row_id bigint, source string, text string")).collect()}
+    assert all(0.9 < got[i] < 1 for i in (90, 91)) and all(got[i] < 0.5 for i in range(40))
+
+
+def test_any_number_of_limits():
+    rng = np.random.default_rng(3)
+    limits = [90 + 23 * k for k in range(12)]
+    lengths = [*rng.integers(30, 600, 4000), *np.repeat(limits, 120)]
+    pdf = pd.DataFrame({"n_chars": lengths, "n_bytes": [int(x) + int(y) for x, y in zip(lengths, rng.integers(1, 60, len(lengths)))]})
+    pdf["n_open"] = [0.02] * 4000 + [0.95] * (120 * 12)
+    pdf = pdf.groupby(["n_chars", "n_bytes"]).agg(n=("n_open", "size"), n_open=("n_open", "sum")).reset_index().assign(n_ended=0, table_name="t", source="s")
+    assert {r.size_limit for r in limits_of(pdf).itertuples() if r.unit == "n_chars"} == set(limits)
