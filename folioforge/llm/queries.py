@@ -90,7 +90,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlaps of ten words and more, substitutions allowed."""
+    """Overlaps of ten words and more, of which one word in five may be substituted."""
     return _leaks(spark, sf_dir, leakage.OVERLAP_MASKS).where(F.col("overlap_words") >= leakage.RUN)
 
 
@@ -126,3 +126,4 @@ ORACLES = {
         SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM runs d JOIN runs i ON d.run = i.run AND d.side = 'd' AND i.side = 'i'
     """,
 }
+ORACLES["p7_items"] = f"SELECT item_id, count(*) AS n_docs FROM ({ORACLES['p7_found']}) GROUP BY item_id"

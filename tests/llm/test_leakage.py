@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from folioforge.llm import leakage
 from folioforge.llm.leakage import MASKS, OVERLAP_MASKS, RUN, compare, find_leaks, seeds, word_ids, word_lists
 
 
@@ -72,20 +73,49 @@ def test_substitutions_are_tolerated(spark):
     assert r.longest_run < RUN and r.overlap_words >= 30 and 0 < r.substituted * 5 <= r.overlap_words
 
 
-def test_every_overlap_that_the_scoring_allows_holds_a_seed():
-    """All patterns of equal and unequal words up to 21 long, and longer ones at random."""
-    hits = [[k for k, b in enumerate(m) if b == "1"] for m in OVERLAP_MASKS]
-    rng = random.Random(11)
-    short = (bits for n in range(10, 22) for bits in itertools.product((True, False), repeat=n - 10) for bits in [(True,) * 5 + bits + (True,) * 5])
-    long = ([rng.random() < 0.8 for _ in range(rng.randint(20, 80))] for _ in range(3_000))
-    allowed = 0
-    for bits in itertools.chain(short, long):
+def longest_overlap(bits):
+    """By trying all stretches."""
+    fits = [(j - i, bits[i:j].count(False)) for i in range(len(bits)) for j in range(i + 1, len(bits) + 1) if bits[i] and bits[j - 1] and bits[i:j].count(False) * 5 <= j - i]
+    return max((n for n, _ in fits), default=0)
+
+
+def test_longest_overlap_against_all_stretches():
+    rng = random.Random(5)
+    for _ in range(400):
+        bits = [rng.random() < rng.choice([0.5, 0.75, 0.9]) for _ in range(rng.randint(1, 30))]
         words = np.array([0 if b else 1 for b in bits], np.uint64)
-        if compare(words, np.zeros(len(bits), np.uint64), 0)[1] < RUN:
-            continue
-        allowed += 1
-        assert any(all(bits[p + k] for k in at) for m, at in zip(OVERLAP_MASKS, hits) for p in range(len(bits) - len(m) + 1)), bits
-    assert allowed > 1_000
+        run, n, unequal = compare(words, np.zeros(len(bits), np.uint64), 0)
+        assert n == longest_overlap(bits) and unequal * 5 <= n
+        assert run == max((len(list(g)) for k, g in itertools.groupby(bits) if k), default=0)
+
+
+@pytest.mark.parametrize("n", range(10, 17))
+def test_share_of_substituted_overlaps_that_hold_a_seed(n):
+    """All ways to substitute as many words of n as may be."""
+    hits = [(len(m), [k for k, b in enumerate(m) if b == "1"]) for m in OVERLAP_MASKS]
+    met = []
+    for off in itertools.combinations(range(n), n // 5):
+        met.append(any(not {p + k for k in at}.intersection(off) for size, at in hits for p in range(n - size + 1)))
+    assert sum(met) / len(met) >= 0.998
+
+
+@pytest.mark.parametrize(("n", "k"), [(15, 2), (15, 3), (20, 3), (20, 4), (25, 5), (30, 6), (50, 10)])
+@pytest.mark.parametrize("most_seeds", [10**9, 0])
+def test_recall_by_length_and_substitutions(spark, n, k, most_seeds):
+    rng = random.Random(n * 100 + k)
+    passage = [f"p{i}" for i in range(n)]
+    docs = []
+    for d in range(150):
+        words = list(passage)
+        for i in rng.sample(range(n), k):
+            words[i] = f"q{d}x{i}"
+        docs.append((d, " ".join(["a", "b", *words, "c"])))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    ask = spark.createDataFrame([(1, " ".join(passage))], "item_id bigint, passage string")
+    got = find_leaks(df, ask, most_seeds=most_seeds, masks=OVERLAP_MASKS).where(f"overlap_words >= {RUN}").count()
+    # words substituted at an end shorten the overlap, below ten at times for the shortest
+    want = sum(longest_overlap([a == b for a, b in zip(t.split()[2:], passage)]) >= RUN for _, t in docs)
+    assert want >= 100 and got >= 0.99 * want
 
 
 @pytest.mark.parametrize("most_seeds", [10**9, 0])
@@ -95,7 +125,7 @@ def test_neighbouring_changed_words_are_found(spark, most_seeds):
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id bigint, text string")
     ask = spark.createDataFrame([(7, " ".join(p))], "item_id bigint, passage string")
     got = find_leaks(df, ask, most_seeds=most_seeds, masks=OVERLAP_MASKS).where(f"overlap_words >= {RUN}").collect()
-    assert {(r.doc_id, r.longest_run, r.overlap_words, r.substituted) for r in got} == {(1, 9, 20, 2), (2, 5, 11, 1)}
+    assert {(r.doc_id, r.longest_run, r.overlap_words, r.substituted) for r in got} == {(1, 9, 20, 2), (2, 5, 11, 1), (3, 5, 11, 2)}
 
 
 @pytest.mark.parametrize("most_seeds", [10**9, 0])
@@ -106,3 +136,11 @@ def test_run_and_overlap_of_different_readings(spark, most_seeds):
     ask = spark.createDataFrame([(7, " ".join([*w, *v, "foo"]))], "item_id bigint, passage string")
     r = find_leaks(spark.createDataFrame([(1, doc)], "doc_id bigint, text string"), ask, most_seeds=most_seeds, masks=OVERLAP_MASKS).first()
     assert (r.longest_run, r.overlap_words, r.substituted) == (9, 17, 1)
+
+
+def test_documents_with_many_passages_are_compared_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "PASSAGES_PER_ROW", 3)
+    passages = [(i, " ".join(f"w{i}x{k}" for k in range(12))) for i in range(25)]
+    df = spark.createDataFrame([(1, " and ".join(p for _, p in passages)), (2, passages[3][1]), (3, "none of them")], "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in find_leaks(df, spark.createDataFrame(passages, "item_id bigint, passage string"), most_seeds=0).collect()}
+    assert got == {(1, i) for i in range(25)} | {(2, 3)}
