@@ -27,7 +27,9 @@ IGNORABLE = (
 )
 # Hyphens drawn like the ASCII one (dashes and the minus sign are longer).
 HYPHENS = "\u2010\u2011\ufe63\uff0d"
-# Letters of other scripts, and Latin variants, drawn like a Latin letter.
+# Letters of other scripts, and Latin variants, drawn like a Latin letter: those
+# Cyrillic, Greek, Armenian and Cherokee entries of the Unicode confusables table that have the
+# form of one Latin letter in common typefaces.
 # Small Greek letters other than omicron are symbols of their own.
 LOOK_ALIKES = {
     "A": "АΑᎪ", "B": "ВΒᏴ", "C": "СᏟϹ", "E": "ЕΕᎬ", "G": "Ԍ", "H": "НΗᎻ", "I": "ІΙӀ", "J": "ЈᎫ", "K": "КΚᏦ",
@@ -96,8 +98,7 @@ def look_alike_pairs(df: DataFrame, group: str, id_col: str, text: str, rows_per
     rows under different ids pair with each variant. Forms travel as 128-bit digests; only
     forms with two variants or more reach the join, and hot forms are salted there.
     """
-    rows = spread(df.where(F.col(text).isNotNull()).select(F.col(group).alias("grp"), F.col(id_col).alias("id"), F.col(text).alias("text")))
-    keyed = materialize(rows.select("grp", "id", F.unhex(F.md5(canonical_column(F.col("text")))).alias("form"), F.unhex(F.md5("text")).alias("raw")))
+    keyed = _forms(df, group, id_col, text)
     many = (
         keyed.groupBy("grp", "form").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"), F.count("*").alias("n"))
         .where("lo <> hi").select("grp", "form", salt_count(F.col("n"), rows_per_salt).alias("salts"))
@@ -107,3 +108,24 @@ def look_alike_pairs(df: DataFrame, group: str, id_col: str, text: str, rows_per
     b = hot.select("grp", "form", F.col("id").alias("id_b"), F.col("raw").alias("raw_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     pairs = a.join(b, ["grp", "form", "salt"]).where("id_a < id_b AND raw_a <> raw_b")
     return pairs.select(F.col("grp").alias(group), "id_a", "id_b")
+
+
+def look_alike_classes(df: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
+    """(group, id, class_id, n_links): for each text its class of equal form, named after the least
+    id, and the number of texts of the class that are made of other characters.
+
+    As many rows as texts, whatever the size of a class: texts are counted by form and by
+    form and characters, with map-side combining. Nulls have no form and no row.
+    """
+    keyed = _forms(df, group, id_col, text)
+    same = keyed.groupBy("grp", "form", "raw").agg(F.count("*").alias("same"), F.min("id").alias("first"))
+    alike = same.groupBy("grp", "form").agg(F.sum("same").alias("alike"), F.min("first").alias("class_id"))
+    sized = same.select("grp", "form", "raw", "same").join(alike, ["grp", "form"])
+    got = keyed.join(sized, ["grp", "form", "raw"])
+    return got.select(F.col("grp").alias(group), "id", "class_id", (F.col("alike") - F.col("same")).alias("n_links"))
+
+
+def _forms(df: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
+    """(grp, id, form, raw) with 128-bit digests of the one form and of the text itself."""
+    rows = spread(df.where(F.col(text).isNotNull()).select(F.col(group).alias("grp"), F.col(id_col).alias("id"), F.col(text).alias("text")))
+    return materialize(rows.select("grp", "id", F.unhex(F.md5(canonical_column(F.col("text")))).alias("form"), F.unhex(F.md5("text")).alias("raw")))

@@ -1,9 +1,10 @@
 """Texts into containers of fixed capacity by hierarchical residual packing.
 
-Each partition packs its items best-fit, the largest first. Nearly full bins are final; the
-others go on as items of their own to fewer partitions, where they are packed again, and so
-on up the tree. No task ever holds more than the items of one partition or, higher up, the
-underfull bins of a bounded number of partitions.
+Each partition packs its items best-fit, a bounded number at a time, the largest first.
+Nearly full bins are final; the others go on as items of their own to fewer partitions,
+where they are packed again, and so on up the tree until one partition has packed them all.
+Where the underfull bins are more than one task may hold, they are dealt out anew in each
+round, until two rounds in a row leave as many as there were.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from folioforge.session import materialize
 TOKENIZERS = "/opt/tokenizers"
 #: A bin with at most this share of its capacity unused is final.
 UNUSED_SHARE = 0.02
-#: Partitions that merge into one on each level, and underfull bins that one task may hold.
+#: Partitions that merge into one on each level, and items that a task packs at a time.
 FAN_IN, BINS_PER_TASK = 8, 500_000
 
 
@@ -79,23 +80,27 @@ def best_fit(sizes: list[int], capacity: int) -> list[int]:
     return out
 
 
-def _pack_round(capacity: int, level: int):
-    """Best-fit within each partition: (item, size) -> (item, size, bin, fill)."""
+def _packed(rows: pd.DataFrame, capacity: int, level: int) -> pd.DataFrame:
+    rows = rows.sort_values(["size", "item"], ascending=[False, True], ignore_index=True)  # the same bins if a task is run again
+    bins = pd.Series(best_fit(rows["size"].tolist(), capacity))
+    rows["bin"] = f"L{level}:" + rows["item"].groupby(bins).transform("first")  # a bin is named after its first item, so no two share a name
+    rows["fill"] = rows["size"].groupby(bins).transform("sum").astype("int64")
+    return rows
+
+
+def _pack_round(capacity: int, level: int, most: int):
+    """Best-fit within each partition, at most so many items at a time: (item, size) -> (item, size, bin, fill)."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = list(batches)
-        if not frames:
-            return
-        rows = pd.concat(frames, ignore_index=True)
-        if rows.empty:
-            return
-        rows = rows.sort_values(["size", "item"], ascending=[False, True], ignore_index=True)  # the same bins if a task is run again
-        bins = pd.Series(best_fit(rows["size"].tolist(), capacity))
-        fill = rows["size"].groupby(bins).transform("sum")
-        first = rows["item"].groupby(bins).transform("first")
-        rows["bin"] = "L" + str(level) + ":" + first  # a bin is named after its first item, so no two share a name
-        rows["fill"] = fill.astype("int64")
-        yield rows
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += len(b)
+            if n >= most:
+                yield _packed(pd.concat(held, ignore_index=True), capacity, level)
+                held, n = [], 0
+        if n:
+            yield _packed(pd.concat(held, ignore_index=True), capacity, level)
 
     return pack
 
@@ -104,23 +109,25 @@ def pack(items: DataFrame, capacity: int, unused_share: float = UNUSED_SHARE, fa
     """(item, size) with 0 <= size <= capacity -> (item, size, bin, fill), bin names unique.
 
     Items are strings, unique. Rounds end when one partition packed all underfull bins, or
-    when the bins left are too many for one task and a round no longer lessens them by a
-    tenth; those then stay as they are, each packed as well as its last round could.
+    when those are too many for one task and two rounds in a row, each over other
+    neighbours, brought none of them together.
     """
     full = capacity - int(capacity * unused_share)
     schema = "item string, size long, bin string, fill long"
-    parts = max(1, items.rdd.getNumPartitions())
-    first = materialize(items.select("item", F.col("size").cast("bigint").alias("size")).mapInPandas(_pack_round(capacity, 0), schema))
-    packed, uppers, before = first, [], None
-    while parts > 1:
+    first = materialize(items.select("item", F.col("size").cast("bigint").alias("size")).mapInPandas(_pack_round(capacity, 0, bins_per_task), schema))
+    parts = max(2, first.rdd.getNumPartitions())  # of the written rows; a partition may have packed in several goes
+    packed, uppers, before, idle = first, [], None, 0
+    while True:
         bins = packed.where(F.col("fill") < full).groupBy("bin").agg(F.first("fill").alias("size")).select(F.col("bin").alias("item"), "size")
         n = bins.count()
-        parts = max(-(-parts // fan_in), -(-n // bins_per_task), 1)
-        if n < 2 or (before is not None and parts > 1 and n > 0.9 * before):
+        idle = idle + 1 if n == before else 0
+        if n < 2 or idle == 2:
             break
-        before = n
-        packed = materialize(bins.repartition(parts, F.xxhash64("item")).mapInPandas(_pack_round(capacity, len(uppers) + 1), schema))
+        parts, before = max(-(-parts // fan_in), -(-n // bins_per_task), 1), n
+        packed = materialize(bins.repartition(parts, F.xxhash64("item", F.lit(len(uppers)))).mapInPandas(_pack_round(capacity, len(uppers) + 1, bins_per_task), schema))
         uppers.append(packed)
+        if parts == 1 and n <= bins_per_task:
+            break
     # Names are followed from the top down among the few underfull bins, then once for all items.
     top = None
     for level in reversed(uppers):

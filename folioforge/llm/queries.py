@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import leakage, normalize, packing, registry_match, spam, splitting, truncation
+from folioforge.session import materialize
 from folioforge.sources.tables import table
 
 
@@ -35,6 +36,11 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.look_alike_pairs(_caption_texts(spark, sf_dir), "field_name", "id", "text")
 
 
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without pairs: each text with its class and its number of links."""
+    return normalize.look_alike_classes(_caption_texts(spark, sf_dir), "field_name", "id", "text")
+
+
 def p3_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _caption_texts(spark, sf_dir).select("field_name", "id", normalize.canonical_column(F.col("text")).alias("text"))
 
@@ -69,6 +75,20 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_fields(table(spark, sf_dir, "extracted_sections"), table(spark, sf_dir, "size_limits"), "section_id", FIELDS)
 
 
+def p5_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each field: whether all its pieces are within the limit and share the overlap, and the
+    digest of its bodies put together again. A row's pieces are as long as its text."""
+    limits = table(spark, sf_dir, "size_limits").select(F.col("limit_name").alias("field_name"), "max_size", "overlap_size")
+    got = p5_pieces(spark, sf_dir).join(F.broadcast(limits), "field_name")  # two rows at most
+    body = F.expr("substring(piece, body_start - start + 1)")
+    shared = (F.col("piece_no") == 1) | (F.col("body_start") - F.col("start") == F.least("body_start", "overlap_size"))
+    each = got.groupBy("section_id", "field_name").agg(
+        F.bool_and(F.char_length("piece") <= F.col("max_size")).alias("within"), F.bool_and(shared & (F.col("end") - F.col("start") == F.char_length("piece"))).alias("overlapping"),
+        F.array_sort(F.collect_list(F.struct("piece_no", body.alias("body")))).alias("b"),
+    )
+    return each.select("section_id", "field_name", "within", "overlapping", F.md5(F.array_join("b.body", "")).alias("text_md5"))
+
+
 def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     limit = table(spark, sf_dir, "size_limits").where("limit_name = 'documents_text'").agg(F.min("max_size")).first()[0]
     return packing.pack_texts(table(spark, sf_dir, "documents"), "doc_id", "text", limit)
@@ -81,6 +101,24 @@ def p6_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.agg(F.count("*").alias("containers"), F.sum("items").alias("items"), F.sum("used").alias("tokens"), F.round(F.sum("used") / (F.count("*") * limit), 6).alias("share_used"))
 
 
+def p6_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document: how many parts it has, whether each is in one container and none of
+    these over the capacity, and whether only an oversized document is divided."""
+    limit = table(spark, sf_dir, "size_limits").where("limit_name = 'documents_text'").agg(F.min("max_size")).first()[0]
+    parts = materialize(p6_containers(spark, sf_dir))
+    fills = parts.groupBy("container").agg(F.sum("n_tokens").alias("used"), F.min("container_tokens").alias("lo"), F.max("container_tokens").alias("hi"))
+    fits = fills.select("container", ((F.col("used") <= limit) & (F.col("lo") == F.col("used")) & (F.col("hi") == F.col("used"))).alias("fits"))
+    each = parts.join(fits, "container").groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("part_no").alias("n_parts"), F.bool_and("fits").alias("fits"), F.sum("n_tokens").alias("tokens"))
+    whole = (F.col("n") == F.greatest(F.lit(1), F.ceil(F.col("tokens") / limit))) & (F.col("n") == F.col("n_parts"))
+    return each.select("doc_id", "fits", whole.alias("whole"))
+
+
+def p6_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the containers are no more than 1 % over the least number that all tokens need, but for one."""
+    limit = table(spark, sf_dir, "size_limits").where("limit_name = 'documents_text'").agg(F.min("max_size")).first()[0]
+    return p6_usage(spark, sf_dir).select((F.col("containers") <= F.ceil(F.col("tokens") / (0.99 * limit)) + 1).alias("is_full"))
+
+
 def _leaks(spark: SparkSession, sf_dir: str, masks: tuple[str, ...] = leakage.MASKS) -> DataFrame:
     return leakage.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), masks=masks)
 
@@ -108,7 +146,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam.find_spam(table(spark, sf_dir, "documents")).withColumn("stuffed_share", F.round("stuffed_share", 6))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_normalized, p4_found, p4_exact, p4_unmatched, p5_found, p5_pieces, p6_containers, p6_usage, p7_found, p7_overlaps, p7_items, p8_found, p8_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_sources, p3_found, p3_classes, p3_normalized, p4_found, p4_exact, p4_unmatched, p5_found, p5_pieces, p5_checks, p6_containers, p6_usage, p6_checks, p6_full, p7_found, p7_overlaps, p7_items, p8_found, p8_shares)}
 ORACLES = {
     "p4_exact": "SELECT data_source_id, min(registry_id) AS registry_id FROM data_source JOIN identifiers ON database = name GROUP BY data_source_id",
     "p5_found": """
@@ -118,6 +156,12 @@ ORACLES = {
         SELECT section_id, 'data_availability' FROM extracted_sections
         WHERE length(data_availability) > (SELECT max_size FROM size_limits WHERE limit_name = 'data_availability')
     """,
+    "p5_checks": """
+        SELECT section_id, 'figure_legends' AS field_name, true AS within, true AS overlapping, md5(figure_legends) AS text_md5 FROM extracted_sections WHERE figure_legends IS NOT NULL
+        UNION ALL SELECT section_id, 'data_availability', true, true, md5(data_availability) FROM extracted_sections WHERE data_availability IS NOT NULL
+    """,
+    "p6_checks": "SELECT doc_id, true AS fits, true AS whole FROM documents",
+    "p6_full": "SELECT count(*) > 0 AS is_full FROM documents",
     "p7_found": r"""
         WITH bare AS (SELECT 'd' AS side, doc_id AS id, regexp_replace(text, '</?[a-zA-Z][^<>]*>', ' ', 'g') AS t FROM documents UNION ALL SELECT 'i', item_id, regexp_replace(passage, '</?[a-zA-Z][^<>]*>', ' ', 'g') FROM eval_items),
         forms AS (SELECT side, id, t FROM bare UNION SELECT side, id, regexp_replace(t, '(\p{L})[-‐]\s*[\r\n]\s*(\p{L})', '\1\2', 'g') FROM bare),

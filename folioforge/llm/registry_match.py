@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.llm.normalize import canonical
-from folioforge.operators.partitioning import spread
 from folioforge.session import materialize
 
 #: The threshold of a search: one edit for each so many letters and digits, at most MOST_EDITS.
@@ -411,7 +410,8 @@ def match_names(df: DataFrame, entries: DataFrame, id_col: str = "data_source_id
     asked = rows.select("value").distinct()
     if shards == 1:
         listed = [tuple(r) for r in fields.collect()]  # no more than entries_per_shard
-        found = materialize(spread(asked).mapInPandas(_search(listed), CANDIDATES))
+        tasks = rows.sparkSession.sparkContext.defaultParallelism
+        found = materialize(asked.repartition(tasks).mapInPandas(_search(listed), CANDIDATES))
     else:
         found = materialize(_sharded(asked, fields, shards))
     per = found.groupBy("value").agg(F.min("rank").alias("rank"))

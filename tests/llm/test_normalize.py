@@ -66,3 +66,17 @@ def test_column_keeps_nulls_and_folds_on_request(spark):
     df = spark.createDataFrame([(None,), ("Ｓtraße",), ("",)], "t string")
     assert [r[0] for r in df.select(canonical_column(F.col("t"))).collect()] == [None, "Straße", ""]
     assert [r[0] for r in df.select(canonical_column(F.col("t"), True)).collect()] == [None, "strasse", ""]
+
+
+def test_classes_count_the_pairs(spark):
+    from folioforge.llm.normalize import look_alike_classes, look_alike_pairs
+
+    texts = ["caf\u00e9", "cafe\u0301", "caf\u00e9", "cafe", "x", None, "", " ", "\uff58", "x"]
+    df = spark.createDataFrame([("g" if i % 10 else "h", i, t, "clash") for i, t in enumerate(texts * 2)], "grp string, id bigint, text string, form string")
+    links = {}
+    for r in look_alike_pairs(df, "grp", "id", "text").collect():
+        for i in (r.id_a, r.id_b):
+            links[i] = links.get(i, 0) + 1
+    got = look_alike_classes(df, "grp", "id", "text").collect()
+    assert {r.id: r.n_links for r in got} == {i: links.get(i, 0) for i, t in enumerate(texts * 2) if t is not None}
+    assert all(r.class_id <= r.id for r in got) and look_alike_classes(df.limit(0), "grp", "id", "text").count() == 0

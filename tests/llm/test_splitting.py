@@ -27,6 +27,37 @@ def test_natural_places_come_first():
     assert all(c.rstrip().endswith(".") for b, e in bodies(text, 60) for c in [text[b:e]])
 
 
+def test_nothing_merges_across_parents():
+    one, two = "Figure 1. " + "Some words here. " * 20, "Figure 2. Short one. "
+    text = one + "\n\n" + two + "\n\n" + two.replace("2", "3")
+    cuts = [text[b:e] for b, e in bodies(text, 150)]
+    assert cuts[-1].startswith("Figure 2.") and "Figure 3." in cuts[-1]
+    assert all("Figure" not in c for c in cuts[1:-1])
+
+
+def test_headings_nest_by_rank():
+    text = "# A\n" + "".join(f"## A{i}\n" + "word " * 10 + "\n" for i in range(3)) + "# B\n" + "".join(f"## B{i}\n" + "word " * 4 + "\n" for i in range(3))
+    cuts = [text[b:e] for b, e in bodies(text, 130)]
+    assert [c.split("\n")[0] for c in cuts] == ["# A", "## A2", "# B"] and cuts[2].count("##") == 3
+    html = "<h1>A</h1>" + "<p>x y z.</p>" * 4 + "<h2>A1</h2><p>word word.</p><h1>B</h1><p>q</p>"
+    assert [html[b:e][:6] for b, e in bodies(html, 75)] == ["<h1>A<", "<h2>A1", "<h1>B<"]
+
+
+def test_lists_nest_by_depth():
+    text = "".join(f"- item {i}\n" + "".join(f"  - part {i}.{k}\n" for k in range(3)) for i in range(4))
+    assert all(text[b:e].startswith("- item") for b, e in bodies(text, 90))
+    html = "<ul>" + "".join(f"<li>item {i}<ul>" + "".join(f"<li>part {k}</li>" for k in range(3)) + "</ul></li>" for i in range(3)) + "</ul>"
+    assert all("<li>item" in html[b:e] for b, e in bodies(html, 100))
+
+
+def test_long_tags_and_long_abbreviations():
+    tag = '<a title="' + "word " * 60 + '">'
+    text = "word " * 10 + tag + " word" * 10
+    assert any(text[b:e].startswith(tag) for b, e in bodies(text, 320))
+    assert [e - b for b, e in bodies("It was notapprox. Then it was approx. Five of them. ", 40)] == [18, 34]
+    assert len(bodies("\n".join(" " * i + "x" for i in range(3000)), 500)) > 1000  # a staircase of lists
+
+
 def test_abbreviations_and_marks_are_not_parted():
     text = "Cells were lost (see e.g. Fig. 3 and Dr. B. Smith). Then more came. "
     assert [text[b:e] for b, e in bodies(text, 55)] == ["Cells were lost (see e.g. Fig. 3 and Dr. B. Smith). ", "Then more came. "]
