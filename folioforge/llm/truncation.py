@@ -56,7 +56,7 @@ STRETCH = 64
 
 
 def _clean(text: Column) -> Column:
-    return F.rtrim(F.regexp_replace(text, r"</?[A-Za-z][^<>]*>", ""))
+    return F.rtrim(F.when(text.contains("<"), F.regexp_replace(text, r"</?[A-Za-z][^<>]*>", "")).otherwise(text))
 
 
 def _shape(clean: Column) -> Column:
@@ -68,9 +68,9 @@ def _shape(clean: Column) -> Column:
 
 def _sentences(shape: Column) -> Column:
     """Arrays of words of each sentence, enumerators at its head left out."""
-    parts = F.split(shape, r"(?<=[.!?][)\]]?)\s+|\n+")
-    plain = F.transform(parts, lambda s: F.regexp_replace(F.trim(s), r"^(?:\(?\p{Lu}\)|\p{Lu},)\s*", ""))
-    return F.transform(F.filter(plain, lambda s: s != ""), lambda s: F.split(s, r"\s+"))
+    enumerator = r"(?:(?:\(?\p{Lu}\)|\p{Lu},)\s*)?"
+    parts = F.split(F.regexp_replace(shape, rf"^\s*{enumerator}", ""), rf"(?<=[.!?][)\]]?)\s+{enumerator}|\s*\n\s*{enumerator}")
+    return F.transform(F.filter(parts, lambda s: s != ""), lambda s: F.split(s, r"\s+"))
 
 
 KEY = ["h1", "h2", "p2", "p1", "w"]
@@ -88,13 +88,14 @@ def prepare(df: DataFrame) -> DataFrame:
     """(table_name, row_id, source, text) -> the same with lengths and the signs of an ending."""
     clean = _clean(F.col("text"))
     rows = df.where(F.col("text").isNotNull() & (F.length(F.trim("text")) > 0)).withColumn("clean", clean)
+    tagged = F.col("text").contains("<")
     opened, closed = F.regexp_count("text", F.lit(f"(?i)<(?:{PAIRED})\\b[^<>]*>")), F.regexp_count("text", F.lit(f"(?i)</(?:{PAIRED})\\s*>"))
-    tail = F.right("clean", F.lit(64))  # longer than any abbreviation
-    stop = F.col("clean").rlike(r"[.!?][)\]\"'”’»]*$") & ~tail.rlike(ABBREVIATION)
+    tail = F.right("clean", F.lit(64))  # longer than any ending that is told by its form
+    stop = tail.rlike(r"[.!?][)\]\"'”’»]*$") & ~tail.rlike(ABBREVIATION)
     return rows.select(
         "table_name", "row_id", F.coalesce("source", F.lit("")).alias("source"),
         F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"),
-        (F.col("clean").rlike(MARKER) | F.col("clean").rlike(r"<[/A-Za-z]?[^<>\s]*$") | (opened > closed)).alias("marked"),
+        (tail.rlike(MARKER) | F.when(tagged, F.col("clean").rlike(r"<[/A-Za-z]?[^<>\s]*$") | (opened > closed)).otherwise(False)).alias("marked"),
         stop.alias("ended"),
         (~stop | tail.rlike(r"(?:^|[^\d.,])\d+\.$")).alias("open"),
         F.xxhash64("clean").alias("text_id"),
