@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions.sequence import LETTERS
+from folioforge.operators.partitioning import salt_count
+
+#: Rows of one group that one task ranks.
+ROWS_PER_PART = 1_000_000
 
 
 def keep_best(df: DataFrame, keys: list[str], score: Column, order: Column, place: str | None = None) -> DataFrame:
@@ -69,14 +73,20 @@ def free_labels(df: DataFrame, group: str, order: str, label: str) -> DataFrame:
     """(group, order, new_label) for each row without a label: the next letters not in use in
     its group, A to Z, then AA to ZZ, then unknown, after all named labels are taken.
 
-    Used labels are collected as a set of at most 702 strings, so a hot group stays small;
-    the pending rows are ranked within their group.
+    Used labels are collected as a set of at most 702 strings, so a hot group stays small. Only
+    the first 702 rows without a label can get one: a hot group is dealt out, each part keeps
+    its own first 702, and only those are ranked together.
     """
     labels = list(LETTERS) + [a + b for a in LETTERS for b in LETTERS]
     blank = F.col(label).isNull() | (F.trim(label) == "")
     all_labels = F.array(*[F.lit(x) for x in labels])
     used = df.where(~blank).groupBy(group).agg(F.collect_set(F.when(F.upper(F.trim(label)).isin(labels), F.upper(F.trim(label)))).alias("used"))
-    ranked = df.where(blank).select(group, order, F.row_number().over(Window.partitionBy(group).orderBy(order)).alias("k"))
+    pending = df.where(blank).select(group, order)
+    sizes = pending.groupBy(F.col(group).alias("__group")).agg(salt_count(F.count("*"), ROWS_PER_PART).alias("__parts"))
+    dealt = pending.join(sizes, F.col(group).eqNullSafe(F.col("__group"))).withColumn("__part", F.pmod(F.xxhash64(order), "__parts"))
+    near = dealt.withColumn("__k", F.row_number().over(Window.partitionBy(group, "__part").orderBy(order)))
+    first = near.where(F.col("__k") <= len(labels)).select(group, order, F.row_number().over(Window.partitionBy(group).orderBy(order)).alias("k"))
+    ranked = first.unionByName(near.where(F.col("__k") > len(labels)).select(group, order, F.lit(len(labels) + 1).alias("k")))
     free = F.array_except(all_labels, F.coalesce("used", F.array().cast("array<string>")))
     return ranked.join(used, group, "left").select(group, order, F.coalesce(F.try_element_at(free, F.col("k")), F.lit("unknown")).alias("new_label"))
 

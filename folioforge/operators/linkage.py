@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioforge.operators.partitioning import salt_count
+from folioforge.session import materialize
 
 #: Rows that a dimension may have to be sent to every task; a longer one is joined by a shuffle.
 BROADCAST_ROWS = 50_000
@@ -65,18 +66,15 @@ def pair_accuracy(df: DataFrame, key: str, expected: str, name: str, exact: list
     multiplied, so no pair is made. Names match where either, in lower case, contains the
     other: only the distinct names of a key meet, weighted by their counts.
     """
-    sides = df.withColumn("__e", F.col(expected).cast("bigint")).withColumn("__a", 1 - F.col("__e"))
-    count = lambda *by: sides.groupBy(key, *by).agg(F.sum("__e").alias("__e"), F.sum("__a").alias("__a"))
-    names = count(F.lower(name).alias("__name"))
-    equal = [count(c) for c in exact] + [names]
-    products = [g.select(key, (F.col("__e") * F.col("__a")).alias("__hits")) for g in equal]
-    left = names.where("__e > 0 AND __name IS NOT NULL").select(key, F.col("__name").alias("__x"), "__e")
-    right = names.where("__a > 0 AND __name IS NOT NULL").select(key, F.col("__name").alias("__y"), "__a")
-    partial = meet(left, right, key, "__x", "__y").where("__x <> __y AND (contains(__x, __y) OR contains(__y, __x))")
-    hits = reduce(DataFrame.unionByName, [*products, partial.select(key, (F.col("__e") * F.col("__a")).alias("__hits"))])
-    n = count().select(key, F.greatest("__e", F.lit(1)).alias("__n"))
-    sums = hits.groupBy(key).agg(F.sum("__hits").alias("__hits"))
-    return sums.join(n, key).select(key, (F.col("__hits") / (len(exact) + 1) / F.col("__n")).alias("accuracy"))
+    fields = F.array(F.struct(F.lit(0).alias("field"), F.lower(name).alias("value")), *[F.struct(F.lit(k).alias("field"), F.col(c).cast("string").alias("value")) for k, c in enumerate(exact, 1)])
+    marked = df.select(key, F.col(expected).cast("bigint").alias("__e"), F.inline(fields))
+    counted = materialize(marked.groupBy(key, "field", "value").agg(F.sum("__e").alias("__e"), F.sum(1 - F.col("__e")).alias("__a")))
+    # the rows expected are those of any one field
+    sums = counted.groupBy(key).agg(F.sum(F.col("__e") * F.col("__a")).alias("__hits"), F.greatest(F.sum(F.when(F.col("field") == 0, F.col("__e"))), F.lit(1)).alias("__n"))
+    names = counted.where("field = 0 AND value IS NOT NULL")
+    left, right = names.where("__e > 0").select(key, F.col("value").alias("__x"), "__e"), names.where("__a > 0").select(key, F.col("value").alias("__y"), "__a")
+    partial = meet(left, right, key, "__x", "__y").where("__x <> __y AND (contains(__x, __y) OR contains(__y, __x))").groupBy(key).agg(F.sum(F.col("__e") * F.col("__a")).alias("__more"))
+    return sums.join(partial, key, "left").select(key, ((F.col("__hits") + F.coalesce("__more", F.lit(0))) / (len(exact) + 1) / F.col("__n")).alias("accuracy"))
 
 
 def longest_prefix(df: DataFrame, value: str, dimension: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
@@ -126,15 +124,24 @@ def by_priority(candidates: DataFrame, keys: list[str], priority: str) -> DataFr
     return candidates.groupBy(*keys).agg(F.min_by(F.struct(*candidates.columns), F.struct(priority)).alias("r")).select("r.*")
 
 
+def literal_prefix(pattern: Column) -> Column:
+    """The letters, digits and plain signs that any match of a pattern begins with; empty where
+    the pattern has alternatives or begins with anything else."""
+    plain = F.regexp_extract(F.regexp_replace(pattern, r"^\^", ""), r"^([A-Za-z0-9_ :/-]*)(?![?*+{])", 1)
+    return F.when(pattern.contains("|"), "").otherwise(plain)
+
+
 def pattern_matches(values: DataFrame, value: str, patterns: DataFrame, pattern: str, columns: list[str]) -> DataFrame:
     """Distinct values with every entry whose pattern they match as a whole.
 
-    A regular expression can't be hashed, so every distinct value meets every pattern; the
-    patterns are sent to the tasks only after a count has shown them few, and long lists of
-    them are refused rather than joined pair by pair.
+    Patterns stand under their literal beginning; each distinct value is taken apart into its
+    beginnings of the lengths that occur, joined on equality, and only patterns met there
+    are tried. Patterns without a literal beginning are tried on every value.
     """
-    if patterns.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        raise ValueError("too many patterns to meet every value")
+    listed = patterns.select(F.col(pattern).alias("__pattern"), *columns).where("__pattern IS NOT NULL").withColumn("__p", literal_prefix(F.col("__pattern")))
+    lengths = sorted(r[0] for r in listed.select(F.length("__p")).distinct().collect())  # no more than the longest pattern has signs
     distinct = values.select(value).where(F.col(value).isNotNull()).distinct()
-    whole: Column = F.expr(f"{value} RLIKE concat('^(?:', {pattern}, ')$')")
-    return distinct.join(F.broadcast(patterns.select(pattern, *columns)), whole).select(value, *columns)
+    n = F.explode(F.filter(F.lit(lengths) if lengths else F.array().cast("array<int>"), lambda k: k <= F.length(value)))
+    begun = distinct.select(value, n.alias("__n")).withColumn("__p", F.expr(f"substring({value}, 1, __n)"))
+    hits = begun.join(small(listed), "__p").where(F.expr(f"{value} RLIKE concat('^(?:', __pattern, ')$')"))
+    return hits.select(value, *columns)

@@ -95,13 +95,13 @@ def q26_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.groupBy("source").agg(F.sum(F.col("is_first").cast("bigint")).alias("n_kept"), F.sum((~F.col("is_first")).cast("bigint")).alias("n_duplicates"))
 
 
-@query("""WITH p AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1, embedding[3]::DOUBLE AS x2, embedding[4]::DOUBLE AS x3 FROM embeddings),
-    m AS (SELECT label, avg(x0) AS m0, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3 FROM p GROUP BY label),
-    d AS (SELECT label, vec_id, round((x0 - m0) ** 2 + (x1 - m1) ** 2 + (x2 - m2) ** 2 + (x3 - m3) ** 2, 6) AS distance FROM p JOIN m USING (label))
+@query("""WITH p AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), m AS (SELECT label, i, avg(x) AS m FROM p GROUP BY ALL),
+    d AS (SELECT label, vec_id, round(sum((x - m) * (x - m)), 6) AS distance FROM p JOIN m USING (label, i) GROUP BY ALL)
     SELECT label, vec_id, distance, row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) = 1 AS is_winner FROM d""")
 def q27_conflict_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector nearest to the mean of its label over all 64 coordinates."""
     points = table(spark, sf_dir, "embeddings")
-    return dedup.nearest_to_group(points, "label", "vec_id", [F.element_at("embedding", i) for i in (1, 2, 3, 4)])
+    return dedup.nearest_to_group(points, "label", "vec_id", [F.element_at("embedding", i) for i in range(1, 65)])
 
 
 @query("""WITH l AS (SELECT chr((64 + i)::INTEGER) AS label, i AS pos FROM range(1, 27) t(i) UNION ALL SELECT chr((65 + (i - 27) // 26)::INTEGER) || chr((65 + (i - 27) % 26)::INTEGER), i FROM range(27, 703) t(i)),
@@ -278,7 +278,7 @@ _XML = "concat('<article><article-id pub-id-type=\"manuscript\">', manuscript_id
 
 
 @query("""SELECT extraction_id, manuscript_id AS found_id, 1 AS figure_no, CASE WHEN regexp_replace(figure_label, '[^0-9]', '', 'g') <> '' THEN 'Figure ' || regexp_replace(figure_label, '[^0-9]', '', 'g') ELSE figure_label END AS label,
-    manuscript_id || '/graphic/' || extraction_id || '.tif' AS image FROM caption_extraction WHERE NOT contains(figure_label, 'EV')""")
+    'graphic/' || extraction_id || '.tif' AS image FROM caption_extraction WHERE NOT contains(figure_label, 'EV')""")
 def q55_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifests made of caption rows, read as XML."""
     rows = table(spark, sf_dir, "caption_extraction").select("extraction_id", F.expr(_XML.format("figure_label")).alias("xml"))

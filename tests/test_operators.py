@@ -206,3 +206,24 @@ def test_repeats_in_a_stream_and_sessions(spark, small_data, tmp_path):
     q.awaitTermination(120)
     assert spark.table("once").count() == events.select("event_id").distinct().count()
     assert streams.sessions(events).agg(F.sum("n")).first()[0] == events.count()
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_patterns_against_every_pair(spark, monkeypatch, limit):
+    import re
+
+    if limit is not None:
+        monkeypatch.setattr(linkage, "BROADCAST_ROWS", limit)
+    patterns = [r"AB\\d{3}", r"AB-?\\d+", "ABC", r"\\d+", "(X|Y)\\\\d", "AB|CD", "A*B", "Z", None]
+    patterns = [p.replace("\\\\", "\\") if p else p for p in patterns]
+    values = ["AB123", "AB-1", "ABC", "123", "X1", "AB", "CD", "AAB", "B", "Z", "ZZ", "", None]
+    df = spark.createDataFrame([(v, 1) for v in values], "v string, i int")
+    got = {(r.v, r.n) for r in linkage.pattern_matches(df, "v", spark.createDataFrame([(p, k) for k, p in enumerate(patterns)], "p string, n int"), "p", ["n"]).collect()}
+    assert got == {(v, k) for v in values if v is not None for k, p in enumerate(patterns) if p and re.fullmatch(p, v)}
+
+
+def test_free_labels_of_a_dealt_out_group(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "ROWS_PER_PART", 100)
+    rows = [(1, k, "A" if k == 0 else None) for k in range(1500)]
+    got = dedup.free_labels(spark.createDataFrame(rows, "g int, o int, l string"), "g", "o", "l").orderBy("o").collect()
+    assert [r.new_label for r in got] == brute_labels({"A"}, 1499)
