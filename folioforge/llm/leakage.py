@@ -64,15 +64,26 @@ def word_lists(text: str | None) -> list[list[str]]:
         forms = [bare] if inside == bare else [bare, inside]
     if "&" in text:
         forms = [html.unescape(f) for f in forms]
-    forms = list(dict.fromkeys(g for f in forms for g in (_DIVIDED.sub("", f), f)))
-    return [_WORD.findall(_HIDDEN.sub("", f).lower()) for f in forms]
+    if "\n" in text or "\r" in text:
+        forms = list(dict.fromkeys(g for f in forms for g in (_DIVIDED.sub("", f), f)))
+    return [_WORD.findall((f if f.isascii() else _HIDDEN.sub("", f)).lower()) for f in forms]
+
+
+_known: dict[str, int] = {}
+#: Words that a process remembers the ids of.
+KNOWN_MOST = 1_000_000
 
 
 def word_ids(words: list[str]) -> np.ndarray:
     """A 64-bit id of each word, the same in every process."""
-    if not words:
-        return np.empty(0, np.uint64)
-    return pd.util.hash_array(np.array(words, dtype=object), categorize=True)
+    try:
+        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    except KeyError:
+        if len(_known) > KNOWN_MOST:
+            _known.clear()
+        fresh = [w for w in dict.fromkeys(words) if w not in _known]
+        _known.update(zip(fresh, pd.util.hash_array(np.array(fresh, dtype=object), categorize=False).tolist()))
+        return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
 def _odd(n: int) -> np.ndarray:
