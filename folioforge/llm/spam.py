@@ -47,7 +47,7 @@ FUNCTION_WORDS = frozenset(
 _END = re.compile(r"[.!?…][\"')\]”’»]*(?=\s|$)")
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _LINK = re.compile(r"(?:https?://|www\.)\S+")
-_CODE = re.compile(r"\b[^\W\d_]*\d[\w-]*|\d+(?:[.,]\d+)*")
+_CODE = re.compile(r"[A-Z]{2,}\d*|\d[\d.,]*")
 _STOP_END = re.compile(r"[.!?…][\"')\]”’»]*$")
 _FACT = re.compile(r"[=<>;:%°μ(]|(?<![A-Za-z\d])\d")
 
@@ -70,7 +70,7 @@ def is_sentence(unit: str) -> bool:
     s = unit.strip()
     if not _STOP_END.search(s):
         return False
-    words = _WORD.findall(_LINK.sub(" ", s).lower())
+    words = _WORD.findall((_LINK.sub(" ", s) if _has_link(s) else s).lower())
     n = len(words)
     if n < 4 or s.count(",") > max(3, n // 8):
         return False
@@ -79,22 +79,35 @@ def is_sentence(unit: str) -> bool:
 
 def make(block: str) -> str:
     """The block with one sign for each link and one for each code or number."""
-    return _CODE.sub("0", _LINK.sub("@", block))
+    return _CODE.sub("0", _LINK.sub("@", block) if _has_link(block) else block)
 
 
-_PARTS = re.compile(r"\s*[\r\n•|;*\t]\s*|,\s+|\s+[-–/·>]\s+")
+_PARTS = re.compile(r"[\r\n•|;*\t]|,\s|(?<=\s)[-–/·>](?=\s)")
+
+
+def _has_link(s: str) -> bool:
+    return "://" in s or "www." in s
 
 
 def itemised(block: str) -> int:
     """Characters in links and in short items parted by line ends, bullets, bars or commas."""
     n = 0
     for part in _PARTS.split(block):
-        links = sum(len(m) for m in _LINK.findall(part))
-        rest = _LINK.sub(" ", part)
-        n += links + (len(rest.strip()) if len(rest.split()) <= ITEM_WORDS and not _END.search(rest) else 0)
+        if _has_link(part):
+            n += sum(map(len, _LINK.findall(part)))
+            part = _LINK.sub(" ", part)
+        part = part.strip()
+        if part and len(part.split(None, ITEM_WORDS)) <= ITEM_WORDS and not _END.search(part):
+            n += len(part)
     return n
 
 
+def packed_size(raw: bytes) -> int:
+    """Bytes of a block compressed; a window of 4 KB holds more than a block."""
+    z = zlib.compressobj(6, zlib.DEFLATED, 12, 5)
+    return len(z.compress(raw)) + len(z.flush())
+
+
 def blocks(text: str, size: int = BLOCK) -> Iterator[tuple[str, int]]:
     """(block, characters in real sentences): whole units up to about `size` characters; an
     oversized unit is cut; a short last block joins the one before."""
@@ -135,7 +148,7 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for block, real in blocks(t):
                 raw = block.encode("utf-8", "replace")
                 size = max(1, len(raw))
-                rows.append((i, lang or "", bucket(len(raw)), len(block), real, itemised(block), len(zlib.compress(raw, 6)) / size, len(zlib.compress(make(block).encode("utf-8", "replace"), 6)) / size))
+                rows.append((i, lang or "", bucket(len(raw)), len(block), real, itemised(block), packed_size(raw) / size, packed_size(make(block).encode("utf-8", "replace")) / size))
         yield pd.DataFrame(rows, columns=["doc_id", "lang", "bucket", "chars", "sentence_chars", "item_chars", "ratio", "make"])
 
 
