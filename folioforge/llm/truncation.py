@@ -32,7 +32,9 @@ from folioforge.session import materialize
 # What systems put after a text they have cut, and the sign of a broken character.
 MARKER = r"(?:…|\.\.\.|\[(?:…|\.\.\.|more|cut|truncated|continued)\]|\((?:…|\.\.\.|more|cut|truncated|continued)\)|\x{FFFD})\s*$"
 # Words whose full stop ends no sentence.
-ABBREVIATION = r"(?i)(?:^|[\s(])(?:e\.g|i\.e|cf|figs?|approx|vs|al|ca|nos?|refs?|eqs?|suppl|resp|incl|ed|vol|pp?)\.$"
+ABBREVIATIONS = "e.g i.e cf fig figs approx vs al ca no nos ref refs eq eqs suppl resp incl ed vol p pp".split()
+# Signs that end a sentence, and those that may follow them.
+STOPS, CLOSERS = (".", "!", "?"), (")", "]", '"', "'", "\u201d", "\u2019", "\u00bb")
 # Tags that are closed again.
 PAIRED = "p|strong|em|b|i|u|sub|sup|span|li|ul|ol|div|td|tr|table|h[1-6]"
 #: A pile of unended values that chance explains with this probability makes no limit.
@@ -91,13 +93,19 @@ def prepare(df: DataFrame) -> DataFrame:
     tagged = F.col("text").contains("<")
     opened, closed = F.regexp_count("text", F.lit(f"(?i)<(?:{PAIRED})\\b[^<>]*>")), F.regexp_count("text", F.lit(f"(?i)</(?:{PAIRED})\\s*>"))
     tail = F.right("clean", F.lit(64))  # longer than any ending that is told by its form
-    stop = tail.rlike(r"[.!?][)\]\"'”’»]*$") & ~tail.rlike(ABBREVIATION)
+    last, stopped = F.right("clean", F.lit(1)), F.col("clean").endswith(".")
+    word = F.lower(F.substring_index(F.substring_index(F.regexp_replace(tail, r"\s", " "), " ", -1), "(", -1))
+    # patterns are tried only where the last sign lets them match
+    short = stopped & word.isin(*[f"{w}." for w in ABBREVIATIONS])
+    stop = (last.isin(*STOPS) | (last.isin(*CLOSERS) & tail.rlike(r"[.!?][)\]\"'”’»]*$"))) & ~short
+    number = stopped & F.substring("clean", -2, 1).between("0", "9") & tail.rlike(r"(?:^|[^\d.,])\d+\.$")
+    mark = (last.isin("\u2026", "]", ")", "\ufffd") | F.col("clean").endswith("...")) & tail.rlike(MARKER)
     return rows.select(
         "table_name", "row_id", F.coalesce("source", F.lit("")).alias("source"),
         F.length("text").alias("n_chars"), F.octet_length("text").alias("n_bytes"),
-        (tail.rlike(MARKER) | F.when(tagged, F.col("clean").rlike(r"<[/A-Za-z]?[^<>\s]*$") | (opened > closed)).otherwise(False)).alias("marked"),
+        (mark | F.when(tagged, F.col("clean").rlike(r"<[/A-Za-z]?[^<>\s]*$") | (opened > closed)).otherwise(False)).alias("marked"),
         stop.alias("ended"),
-        (~stop | tail.rlike(r"(?:^|[^\d.,])\d+\.$")).alias("open"),
+        (~stop | number).alias("open"),
         F.xxhash64("clean").alias("text_id"),
         _sentences(_shape(F.col("clean"))).alias("sentences"),
     )
