@@ -18,6 +18,16 @@ def _json(reply: Column, opening: str, closing: str) -> Column:
     return F.when(F.try_parse_json(s).isNotNull() & F.ltrim(s).startswith(opening), s)
 
 
+def typed(reply: Column, schema: str) -> Column:
+    """struct of a schema from the object of a reply; its fields null for what is not there."""
+    return F.coalesce(F.from_json(_json(reply, "{", "}"), schema), F.from_json(F.lit("{}"), schema))
+
+
+def listed(reply: Column, schema: str) -> Column:
+    """An array of a schema from the array of a reply; empty for none."""
+    return F.coalesce(F.from_json(_json(reply, "[", "]"), schema), F.array().cast(schema))
+
+
 def sections(reply: Column) -> Column:
     """struct of both sections; empty texts for a reply without a JSON object."""
     got = F.from_json(_json(reply, "{", "}"), SECTIONS)
@@ -27,7 +37,7 @@ def sections(reply: Column) -> Column:
 
 def sources(reply: Column) -> Column:
     """The array of data sources; empty for a reply without a JSON array."""
-    return F.coalesce(F.from_json(_json(reply, "[", "]"), SOURCES), F.array().cast(SOURCES))
+    return listed(reply, SOURCES)
 
 
 def files(reply: Column) -> Column:

@@ -164,6 +164,15 @@ def file_name(name: Column) -> Column:
     return F.lower(F.regexp_replace(F.translate(name, " /\\", "___"), "[^A-Za-z0-9._-]", ""))
 
 
+# Signs that archives garble in file names.
+GARBLED = {"ª┬": "β", "í≈": "△"}
+
+
+def repair_name(name: Column) -> Column:
+    """A file name with its garbled signs put right."""
+    return reduce(lambda s, e: F.replace(s, F.lit(e[0]), F.lit(e[1])), GARBLED.items(), name)
+
+
 def is_data_member(member: Column) -> Column:
     """Whether an archive member is data: no directory, no system or hidden file."""
     system = reduce(lambda a, b: a | b, (member.contains(s) for s in SYSTEM_FILES))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.functions import sequence, similarity, text
+from folioforge.functions import config, sequence, similarity, text
 from folioforge.operators import chunking, dedup, linkage, model, rollup
 from folioforge.operators.partitioning import spread
 from folioforge.plans.catalog import query
@@ -187,8 +187,8 @@ def q37_source_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT n_name AS model, t AS temperature, r AS run FROM nation CROSS JOIN (VALUES (0), (5)) a(t) CROSS JOIN range(1, 4) b(r) WHERE NOT EXISTS (SELECT 1 FROM region WHERE r_regionkey = n_regionkey AND r_regionkey + r = 3)""")
 def q38_grid_todo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The grid of models, temperatures and runs, spread out by arrays, without the cases done."""
-    grid = table(spark, sf_dir, "nation").select(F.col("n_name").alias("model"), "n_regionkey", F.explode(F.array(F.lit(0), F.lit(5))).alias("temperature"))
-    grid = grid.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(3).cast("bigint"))).alias("run"))
+    cases = F.array(*[F.struct(F.lit(c["temperature"]).alias("temperature"), F.lit(c["run"]).cast("bigint").alias("run")) for c in config.grid(temperature=(0, 5), run=(1, 2, 3))])
+    grid = table(spark, sf_dir, "nation").select(F.col("n_name").alias("model"), "n_regionkey", F.inline(cases))
     done = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), (3 - F.col("r_regionkey")).cast("bigint").alias("run"))
     return linkage.todo(grid, done, ["n_regionkey", "run"]).select("model", "temperature", "run")
 
