@@ -32,7 +32,12 @@ SPACE = r"(?U)\s"
 _hidden = re.compile(HIDDEN)
 
 
-def _where(text: Column, condition: Column, change: Callable[[str], str], otherwise: Column) -> Column:
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression that uses a value several times but has it computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _where(text: Column, condition: Callable[[Column], Column], change: Callable[[str], str], otherwise: Callable[[Column], Column]) -> Column:
     """`change` in Python for texts that meet the condition, in Arrow batches that hold only
     those; the JVM's expression for all others."""
 
@@ -40,7 +45,7 @@ def _where(text: Column, condition: Column, change: Callable[[str], str], otherw
     def changed(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else change(x))
 
-    return F.when(condition, changed(F.when(condition, text))).otherwise(otherwise)
+    return F.coalesce(changed(_let(text, lambda t: F.when(condition(t), t))), _let(text, otherwise))
 
 
 def _visible(s: str, gap: str) -> str:
@@ -59,12 +64,18 @@ def strip_tags(text: Column, gap: str = " ") -> Column:
     With a gap, the stretches of text are trimmed and joined by it, and a text without any
     angle brackets is left as it is; without one, the stretches are joined as they stand.
     """
-    tagged = text.contains("<") & text.contains(">")
-    parts = F.split(text, HIDDEN)
     if gap:
-        plain = F.when(tagged, F.array_join(F.filter(F.transform(parts, _trim), lambda x: x != ""), gap)).otherwise(text)
-        return _where(text, tagged & text.contains("&"), lambda s: _visible(s, gap), plain)
-    return _where(text, text.contains("&"), lambda s: _visible(s, ""), F.array_join(parts, ""))
+        return _where(text, lambda t: _tagged(t) & t.contains("&"), lambda s: _visible(s, gap), lambda t: _stretches(t, gap))
+    return _where(text, lambda t: t.contains("&"), lambda s: _visible(s, ""), lambda t: F.array_join(F.split(t, HIDDEN), ""))
+
+
+def _tagged(text: Column) -> Column:
+    return text.contains("<") & text.contains(">")
+
+
+def _stretches(text: Column, gap: str = " ") -> Column:
+    joined = F.array_join(F.filter(F.transform(F.split(text, HIDDEN), _trim), lambda x: x != ""), gap)
+    return F.when(_tagged(text), joined).otherwise(text)
 
 
 def _trim(text: Column) -> Column:
@@ -77,7 +88,7 @@ def collapse(text: Column) -> Column:
 
 def unescape(text: Column) -> Column:
     """All entities of HTML, named and numbered."""
-    return _where(text, text.contains("&"), html.unescape, text)
+    return _where(text, lambda t: t.contains("&"), html.unescape, lambda t: t)
 
 
 def drop_empty_items(text: Column) -> Column:
@@ -93,7 +104,7 @@ def normalize(text: Column, control: bool = True, lower: bool = True, markup: bo
     s = F.lower(_trim(s)) if lower else _trim(s)
     if markup:
         # an entity may resolve to a tag, so both steps are taken in one place
-        s = _where(s, s.contains("&"), lambda x: _visible_if_tagged(html.unescape(x)), strip_tags(F.when(~s.contains("&"), s)))
+        s = _where(s, lambda t: t.contains("&"), lambda x: _visible_if_tagged(html.unescape(x)), lambda t: _stretches(t))
     if punctuation:
         signs = "".join(c for c in string.punctuation if c not in keep)
         s = F.regexp_replace(s, "[" + "".join("\\" + c for c in signs) + "]", " ") if signs else s
@@ -113,8 +124,8 @@ def normalize_verbatim(text: Column) -> Column:
     """Tags away without a gap, entities resolved, lower case, compatibility decomposition, only
     letters, digits and blanks. Spark has no decomposition, so texts with other than ASCII
     characters or entities pass Python."""
-    plain = text.rlike(r"^[\x00-\x7f]*$") & ~text.contains("&")
-    s = _where(text, ~plain, decomposed, F.lower(F.array_join(F.split(text, HIDDEN), "")))
+    other = lambda t: t.rlike(r"[^\x00-\x7f&]|&")
+    s = _where(text, other, decomposed, lambda t: F.lower(F.array_join(F.split(t, HIDDEN), "")))
     return collapse(F.regexp_replace(s, r"(?U)[^\p{L}\p{N}\s]", ""))
 
 
@@ -128,8 +139,7 @@ def normalize_scored(text: Column, squeeze: bool = False, availability: bool = F
 
 def ascii_fold(text: Column) -> Column:
     """Compatibility decomposition with all that is not ASCII dropped."""
-    plain = text.rlike(r"^[\x00-\x7f]*$")
-    return _where(text, ~plain, lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), text)
+    return _where(text, lambda t: t.rlike(r"[^\x00-\x7f]"), lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), lambda t: t)
 
 
 def excerpt(text: Column, most: int = 160) -> Column:
