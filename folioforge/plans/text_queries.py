@@ -228,7 +228,7 @@ def q10b_rouge_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _word_pairs(spark, sf_dir).select("panel_id", F.round(similarity.rouge_l(F.col("a"), F.col("b")), 6).alias("rouge_l"))
 
 
-@query(r"""WITH e AS (SELECT doc_id, length(text) AS n_chars, trim(regexp_replace(text, '[ \t\n\x0b\f\r]+', ' ', 'g')) AS s FROM documents)
+@query(rf"""WITH e AS (SELECT doc_id, length(text) AS n_chars, {_collapsed("text")} AS s FROM documents)
     SELECT doc_id, n_chars, md5(CASE WHEN length(s) > 160 THEN substring(s, 1, 160) || '...' ELSE s END) AS excerpt_md5 FROM e""")
 def q13_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.md5(text.excerpt(F.col("text"))).alias("excerpt_md5"))
@@ -241,7 +241,7 @@ def q14_message_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "caption_extraction").groupBy("manuscript_id").agg((F.sum(each) + 3).alias("n_tokens"))
 
 
-@query(r"""WITH m AS (SELECT manuscript_id, extraction_id, source, coalesce(figure_caption, '') AS t, trim(regexp_replace(coalesce(figure_caption, ''), '[ \t\n\x0b\f\r]+', ' ', 'g')) AS s FROM caption_extraction)
+@query(rf"""WITH m AS (SELECT manuscript_id, extraction_id, source, coalesce(figure_caption, '') AS t, {_collapsed("coalesce(figure_caption, '')")} AS s FROM caption_extraction)
     SELECT manuscript_id, count(*) AS n_messages, sum(length(t))::BIGINT AS n_chars,
            md5(arg_min(CASE WHEN length(s) > 160 THEN substring(s, 1, 160) || '...' ELSE s END, extraction_id) FILTER (WHERE source LIKE 'api%' AND s <> '')) AS first_md5 FROM m GROUP BY manuscript_id""")
 def q15_message_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

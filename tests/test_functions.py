@@ -84,6 +84,7 @@ def test_reply_json(spark):
 
 def test_excerpt_template_and_folding(spark):
     assert one(spark, text.excerpt(F.lit("a  b" + "c" * 200), 10)) == "a bccccccc..."
+    assert one(spark, text.excerpt(F.lit("\u00a0a\u2003 b\u00a0"))) == " ".join("\u00a0a\u2003 b\u00a0".split())
     assert one(spark, text.fill_template("$a $ab $x", {"a": F.lit("1"), "ab": F.lit("2")})) == "1 2 $x"
     assert one(spark, text.ascii_fold(F.lit("Å é μm"))) == "A e m"
     assert one(spark, text.drop_empty_items(F.lit("<ul><LI> &nbsp;<br/></li><li>x</li></ul>"))) == "<ul><li>x</li></ul>"
